@@ -93,11 +93,15 @@ def audit_changes(
 
 
 def latest_per_key(changes: DataFrame, key: str | Sequence[str], order: Column) -> DataFrame:
-    """The last change of each key.  Partial maxima, so a key with many changes stays cheap."""
+    """The last change of each key.
+
+    Partial maxima, so a key with many changes stays cheap; equal ``order`` falls back to the
+    row's values, so a rerun picks the same one.
+    """
     keys = _key_list(key)
     rest = [name for name in changes.columns if name not in keys]
-    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*changes.columns)
+    newest = changes.groupBy(*keys).agg(F.max(F.struct(order.alias("_order"), *rest)).alias("_row"))
+    return newest.select(*[F.col(name) if name in keys else F.col(f"_row.{name}") for name in changes.columns])
 
 
 def apply_updates(

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-TRACKED_KEYS = 8192
-HOT_KEYS = 100
+SMALLEST_HOT_SHARE = 1 / 2000  # at most 2000 keys can exceed it
+TRACKED_KEYS = 16384
+SKETCH_GROUPS = 256
 
 _FIXED_WIDTH = 16
 
@@ -44,26 +45,31 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def hot_keys(df: DataFrame, on: str | Sequence[str], share: float | None = None) -> list[tuple[int, int]]:
     """(hash, pieces) of each key holding more than ``share`` of the rows.
 
-    One pass with a mergeable frequent-items sketch: nothing is shuffled by key, and
-    at most ``HOT_KEYS`` numbers come back.  The answer only decides how work is spread;
-    a key that is missed is still joined in full.
+    One pass with frequent-items sketches, merged in groups and then once more, so nothing is
+    shuffled by key and no task merges the sketches of a whole table.  What comes back is
+    bounded by 1 / ``share`` numbers.  The answer only decides how work is spread; a key that
+    is missed is still joined in full.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = share if share is not None else 4.0 / max(partitions, 8)
-    found = df.agg(
-        F.count("*").alias("rows"),
-        F.call_function(
-            "approx_top_k", F.xxhash64(*_names(on)), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS)
-        ).alias("top"),
-    ).first()
-    if not found["rows"]:
+    share = share if share is not None else max(2 / max(partitions, 8), SMALLEST_HOT_SHARE)
+    tracked = F.lit(TRACKED_KEYS)
+    found = (
+        df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
+        .agg(
+            F.count("*").alias("_rows"),
+            F.call_function("approx_top_k_accumulate", F.xxhash64(*_names(on)), tracked).alias("_sketch"),
+        )
+        .groupBy(F.lit("all"))  # no rows, rather than an empty sketch, for an empty table
+        .agg(
+            F.sum("_rows").alias("rows"), F.call_function("approx_top_k_combine", "_sketch", tracked).alias("_sketch")
+        )
+        .select("rows", F.call_function("approx_top_k_estimate", "_sketch", F.lit(int(1 / share) + 1)).alias("top"))
+        .first()
+    )
+    if found is None:
         return []
-    hot = []
-    for item in found["top"]:
-        part = item["count"] / found["rows"]
-        if part > share:
-            hot.append((item["item"], max(2, round(part * partitions) + 1)))
-    return hot
+    shares = [(item["item"], item["count"] / found["rows"]) for item in found["top"]]
+    return [(key, max(2, round(part * partitions) + 1)) for key, part in shares if part > share]
 
 
 def spread_join(
@@ -87,13 +93,7 @@ def spread_join(
     if not hot:
         return left.join(right, keys, how)
 
-    pieces = F.broadcast(
-        left.sparkSession.range(1).select(
-            F.inline(
-                F.array(*[F.struct(F.lit(h).cast("long").alias("_hot"), F.lit(n).alias("_pieces")) for h, n in hot])
-            )
-        )
-    )
+    pieces = F.broadcast(left.sparkSession.createDataFrame(hot, "_hot long, _pieces int"))
     types = {field.name: field.dataType for field in left.schema}
     left_hash = F.xxhash64(*[left[key] for key in keys])
     right_hash = F.xxhash64(*[right[key].try_cast(types[key]) for key in keys])

@@ -10,7 +10,6 @@ in when asked for; a ticket's customer and payment type live on the order and co
 from __future__ import annotations
 
 import datetime
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,13 @@ PLANES = [(0, 8), (1, 12), (2, 13), (3, 16)]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 CABINS = [("A", "First Class"), ("N", "Second Class"), ("R", "Third Class")]
 OUTLETS = [("F", "Airport"), ("O", "Online")]
+PAYMENTS = [
+    ("1-URGENT", "URGENT"),
+    ("2-HIGH", "HIGH"),
+    ("3-MEDIUM", "MEDIUM"),
+    ("4-NOT SPECIFIED", "NOT SPECIFIED"),
+    ("5-LOW", "LOW"),
+]
 DISCOUNTS = [(1, "Student Discount", "0.20"), (2, "Elderly Discount", "0.15")]
 ROUTES = 112
 AS_OF = datetime.date(2001, 12, 31)
@@ -122,12 +128,7 @@ class OrderTables:
         return self.spark.sql(_values(OUTLETS, "location_id, name"))
 
     def _payment_types(self, columns: tuple[str, ...]) -> DataFrame:
-        return (
-            self._read("orders")
-            .select(F.col("o_orderpriority").alias("payment_type_id"))
-            .distinct()
-            .withColumn("name", F.substring("payment_type_id", 3, 50))
-        )
+        return self.spark.sql(_values(PAYMENTS, "payment_type_id, name"))
 
     def _discounts(self, columns: tuple[str, ...]) -> DataFrame:
         rows = self.spark.sql(_values(DISCOUNTS, "discount_id, name, percentage"))
@@ -233,8 +234,7 @@ SQL: dict[str, str] = {
     "weekdays": _values([(i, n, i) for i, n in enumerate(WEEKDAYS, 1)], "weekday_id, name, day_order"),
     "cabin_types": _values(CABINS, "cabin_type_id, name"),
     "locations": _values(OUTLETS, "location_id, name"),
-    "payment_types": """
-        SELECT DISTINCT o_orderpriority AS payment_type_id, substr(o_orderpriority, 3) AS name FROM orders""",
+    "payment_types": _values(PAYMENTS, "payment_type_id, name"),
     "discounts": """
         SELECT discount_id, name, CAST(percentage AS DECIMAL(5,2)) AS percentage FROM ("""
     + _values(DISCOUNTS, "discount_id, name, percentage")
@@ -275,5 +275,3 @@ def with_tables(names: str, query: str) -> str:
     ctes = ",\n".join(f"{name} AS ({SQL[name].strip()})" for name in names.split())
     return f"WITH {ctes}\n{query.strip()}"
 
-
-TOLERANCE = Decimal("0.20")

@@ -227,13 +227,13 @@ def _chosen_routes(
     )
     if weekdays:
         routes = routes.filter(F.col("weekday_id").isin(*weekdays))
-    routes = join_dim(routes, _weekdays(tables), "weekday_id")
-    routes = join_dim(routes, _city(tables, "city_state_id_origin", "city_state"), "city_state_id_origin", city_how)
+    routes = routes.join(_weekdays(tables), "weekday_id")
+    routes = routes.join(_city(tables, "city_state_id_origin", "city_state"), "city_state_id_origin", city_how)
     if origin is not None:
         routes = routes.filter(F.col("city_state") == origin)
     if destination is not None:
         ends = _city(tables, "city_state_id_destination", "city_state_to").filter(F.col("city_state_to") == destination)
-        routes = join_dim(routes, ends.drop("city_state_to"), "city_state_id_destination", "left_semi")
+        routes = routes.join(ends.drop("city_state_to"), "city_state_id_destination", "left_semi")
     return routes
 
 
@@ -426,8 +426,8 @@ def top_routes_by_weekday(tables: Tables, years: Sequence[int], n: int = 3) -> D
         ("city_state_id_origin", "city_name_origin"),
         ("city_state_id_destination", "city_name_destination"),
     ):
-        routes = join_dim(routes, _city(tables, key, name), key)
-    routes = join_dim(routes, _weekdays(tables), "weekday_id")
+        routes = routes.join(_city(tables, key, name), key)
+    routes = routes.join(_weekdays(tables), "weekday_id")
     flown = counts_per_outer(
         tables("flights", "flight_id", "route_id"),
         tables("tickets", "flight_id", "boarding_date").filter(in_year("boarding_date", *years)),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_QUOTED = r"N?'(?:[^']|'')*'"
+_QUOTED = r"N?'[^']*+(?:''[^']*+)*+'"
 _LITERAL = rf"CAST\(\s*(?:{_QUOTED}|[^\s']+)\s+AS\s+[^()]*(?:\([^()]*\))?\s*\)|{_QUOTED}|[^\s,()']+"
 _HEAD = r"(?i)^\s*INSERT\s+(?:INTO\s+)?(?:\[?\w+\]?\.)?\[?(\w+)\]?\s*\(([^)]*)\)\s*VALUES\s*\((.*)\)\s*;?\s*$"
 

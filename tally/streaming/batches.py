@@ -20,13 +20,27 @@ from tally.operators.quality import check_date_range
 BATCH_COLUMN = "batch_id"
 
 
-def _write_batch(df: DataFrame, sink: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch_id}")
+def _per_batch(
+    changes: DataFrame,
+    work: Callable[[DataFrame, int], DataFrame],
+    sink: str,
+    checkpoint: str,
+    trigger: dict | None,
+) -> StreamingQuery:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # measured and joined more than once
+        try:
+            work(batch, batch_id).write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def audit_stream(
     changes: DataFrame,
-    current: DataFrame | Callable[[], DataFrame],
+    current: DataFrame | Callable[[int], DataFrame],
     key: str,
     cols: Sequence[str],
     sink: str,
@@ -41,23 +55,21 @@ def audit_stream(
 ) -> StreamingQuery:
     """Audit a stream of new row images against the present table.
 
-    ``current`` is the table, or a function returning its present state when it moves on
-    between batches.  ``deleted`` marks change rows that remove their key; ``order`` ranks
+    ``current`` is the table, or, when it moves on between batches, a function from batch id to
+    its state before that batch (the same answer on a retry).  ``deleted`` marks change rows that remove their key; ``order`` ranks
     several changes of one key within a batch, of which the last counts.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def audit(batch: DataFrame, batch_id: int) -> DataFrame:
         net = latest_per_key(batch, key, order) if order is not None else batch
-        present = current() if callable(current) else current
+        present = current(batch_id) if callable(current) else current
         touched = net.select(key)
         before = join_dim(present.select(*cols), touched, key, "left_semi")
         after = net if deleted is None else net.filter(~deleted)
         stamp = at or datetime.datetime.now()
-        rows = audit_changes(before, after, key, cols, table, user, station, stamp, str(batch_id))
-        _write_batch(rows, sink, batch_id)
+        return audit_changes(before, after, key, cols, table, user, station, stamp, str(batch_id))
 
-    writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    return _per_batch(changes, audit, sink, checkpoint, trigger)
 
 
 def validate_stream(
@@ -68,12 +80,7 @@ def validate_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run a batch check or clamp (``rule``) on every micro-batch and keep what it returns."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(rule(batch), sink, batch_id)
-
-    writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    return _per_batch(changes, lambda batch, _: rule(batch), sink, checkpoint, trigger)
 
 
 def violations_stream(changes: DataFrame, col: str, low: datetime.date, high: datetime.date) -> DataFrame:

@@ -29,7 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tally/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, grouped by application so that it is easy to clear."""
+    return f"{shared_dir(spark)}/tally/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,0 +1,81 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tally.operators.joins import fits_broadcast, hot_keys, join_dim, lookup, semi_theta, spread_join
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows on one key, some on a missing key, the rest spread out."""
+    n = spark.range(6000)
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 400)
+    return n.select(F.col("id").alias("row"), key.cast("long").alias("k"))
+
+
+@pytest.fixture
+def dim(spark):
+    return spark.range(0, 300).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+
+
+def test_hot_keys_finds_the_third(spark, skewed):
+    found = hot_keys(skewed, "k")
+    assert [key for key, _ in found] == [spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]]
+    assert found[0][1] >= 2
+    assert hot_keys(skewed.filter("k > 10"), "k") == []
+    assert hot_keys(skewed.limit(0), "k") == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_equals_plain_join(skewed, dim, how):
+    assert rows(spread_join(skewed, dim, "k", how)) == rows(skewed.join(dim, "k", how))
+
+
+def test_spread_join_with_repeated_right_keys(skewed, dim):
+    twice = dim.unionByName(dim.withColumn("v", F.col("v") + 1))
+    assert rows(spread_join(skewed, twice, "k", "inner")) == rows(skewed.join(twice, "k", "inner"))
+
+
+def test_spread_join_really_splits_the_hot_key(skewed, dim):
+    [(_, pieces)] = hot_keys(skewed, "k")
+    text = spread_join(skewed, dim, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_piece" in text and pieces > 1
+
+
+def test_spread_join_on_two_keys(skewed, dim):
+    left = skewed.withColumn("g", (F.col("row") % 2).cast("int"))
+    right = dim.withColumn("g", F.lit(1))
+    assert rows(spread_join(left, right, ["k", "g"], share=0.1)) == rows(left.join(right, ["k", "g"]))
+
+
+def test_spread_join_refuses_joins_that_keep_the_right_side(skewed, dim):
+    with pytest.raises(ValueError):
+        spread_join(skewed, dim, "k", "full_outer")
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_join_dim_is_the_same_either_way(skewed, dim, limit):
+    assert rows(join_dim(skewed, dim, "k", "left", limit=limit)) == rows(skewed.join(dim, "k", "left"))
+
+
+def test_fits_broadcast_measures_text(spark):
+    long_text = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits_broadcast(long_text, 20_000)
+    assert not fits_broadcast(long_text, 5_000)
+    assert fits_broadcast(long_text.limit(0), 100)
+
+
+def test_lookup_gives_null_without_a_match(spark):
+    left = spark.createDataFrame([(1, 5), (2, 9), (3, None)], "id int, k int")
+    names = spark.createDataFrame([(5, "five")], "key int, name string")
+    assert rows(lookup(left, names, "k", {"name": "label"}, "key").select("id", "label")) == [
+        (1, "five"),
+        (2, None),
+        (3, None),
+    ]
+
+
+def test_semi_theta_needs_key_and_range(spark):
+    left = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (None, 10)], "k int, x int")
+    right = spark.createDataFrame([(1, 5, 15), (1, 8, 12), (3, 0, 99)], "k int, lo int, hi int")
+    assert rows(semi_theta(left, right, "k", F.col("x").between(F.col("lo"), F.col("hi")))) == [(1, 10)]
