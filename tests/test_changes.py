@@ -1,0 +1,103 @@
+import datetime
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tally.operators.changes import apply_updates, audit_changes, classify, latest_per_key, pair_images, replay
+from tally.schemas import AUDIT
+
+AT = datetime.datetime(2021, 5, 6, 7, 8, 9)
+PLANE = "plane_id int, fabrication_date date, brand string, capacity int"
+COLUMNS = ["plane_id", "fabrication_date", "brand", "capacity"]
+DAY = datetime.date(2001, 1, 1)
+
+
+def audit(before, after, cols=COLUMNS):
+    return audit_changes(before, after, "plane_id", cols, "planes", "clerk", "desk", AT)
+
+
+@pytest.fixture
+def images(spark):
+    before = [(1, DAY, "A", 16), (2, DAY, None, 16), (3, DAY, "C", 16), (4, DAY, "D", 16), (5, DAY, "E", 16)]
+    after = [(1, DAY, "A", 16), (2, DAY, "B", 16), (3, DAY, None, 20), (6, DAY, "E", 16), (7, None, "G", None)]
+    return spark.createDataFrame(before, PLANE), spark.createDataFrame(after, PLANE)
+
+
+def test_classify(images):
+    got = rows(classify(pair_images(*images, "plane_id")).select("plane_id", "operation"))
+    assert got == [
+        (1, None),
+        (2, "UPDATE"),
+        (3, "UPDATE"),
+        (4, "DELETE"),
+        (5, "DELETE"),
+        (6, "INSERT"),
+        (7, "INSERT"),
+    ]
+
+
+def test_audit_rows(images):
+    log = audit(*images)
+    assert log.schema.names == AUDIT.names
+    got = rows(log.select("aud_identifier_id", "aud_operation", "aud_column", "aud_before", "aud_after"))
+    # only changed columns of an update; every column of an insert or delete, missing values too
+    assert [r for r in got if r[1] == "UPDATE"] == [
+        ("2", "UPDATE", "brand", None, "B"),
+        ("3", "UPDATE", "brand", "C", None),
+        ("3", "UPDATE", "capacity", "16", "20"),
+    ]
+    assert len([r for r in got if r[1] == "INSERT"]) == 8
+    assert ("7", "INSERT", "fabrication_date", None, None) in got
+    # a changed key is a delete and an insert
+    assert ("5", "DELETE", "plane_id", "5", None) in got and ("6", "INSERT", "plane_id", None, "6") in got
+    assert ("4", "DELETE", "fabrication_date", "2001-01-01", None) in got
+
+
+def test_audit_stamp_and_repeatable_ids(images):
+    log = audit(*images)
+    row = log.first()
+    assert (row.aud_station, row.aud_username, row.aud_table) == ("desk", "clerk", "planes")
+    assert (row.aud_date, row.aud_time) == (AT.date(), "07:08:09")
+    ids = [r.aud_id for r in log.collect()]
+    assert len(ids) == len(set(ids)) and "0:planes:2:brand" in ids
+    assert sorted(ids) == sorted(r.aud_id for r in audit(*images).collect())
+
+
+def test_audit_of_no_change(images):
+    assert audit(images[0], images[0]).count() == 0
+
+
+row_strategy = st.dictionaries(
+    st.integers(0, 8), st.tuples(st.sampled_from([None, "A", "B"]), st.sampled_from([None, 1, 2])), max_size=8
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=row_strategy, new=row_strategy)
+def test_replaying_the_audit_gives_the_new_image(spark, old, new):
+    schema, cols = "plane_id int, brand string, capacity int", ["plane_id", "brand", "capacity"]
+
+    def image(data):
+        return spark.createDataFrame([(k, *v) for k, v in data.items()], schema)
+
+    before, after = image(old), image(new)
+    assert rows(replay(before, audit(before, after, cols), "plane_id", cols)) == rows(after)
+
+
+def test_latest_per_key(spark):
+    changes = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "x")], "k int, seq int, v string")
+    assert rows(latest_per_key(changes, "k", F.col("seq"))) == [(1, 3, "c"), (2, 1, "x")]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_apply_updates(spark, monkeypatch, limit):
+    from tally.operators import changes as module
+
+    monkeypatch.setattr(module, "fits_broadcast", lambda df: limit > 0)
+    target = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, "c", 30)], "k int, name string, n int")
+    changes = spark.createDataFrame([(2, None, 21), (3, "C", 31), (9, "z", 99)], "k int, name string, n int")
+    assert rows(apply_updates(target, changes, "k", ["name", "n"])) == [(1, "a", 10), (2, None, 21), (3, "C", 31)]
+    assert rows(apply_updates(target, changes, "k", ["n"])) == [(1, "a", 10), (2, "b", 21), (3, "c", 31)]
