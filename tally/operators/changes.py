@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.joins import fits_broadcast
 from tally.schemas import AUDIT
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -109,13 +108,12 @@ def apply_updates(
 ) -> DataFrame:
     """``target`` with ``cols`` taken from the matching change; ``changes`` has one row per key.
 
-    A change to NULL is a change.  Keys unknown to ``target`` are ignored.  Changes that
-    measure small are broadcast, so the target is read and written without a shuffle.
+    A change to NULL is a change.  Keys unknown to ``target`` are ignored.  A stored change
+    table below Spark's broadcast threshold leaves the target unshuffled.
     """
     keys = _key_list(key)
-    small = fits_broadcast(changes.select(*keys, *cols))
     new = changes.select(*keys, F.struct(*cols).alias("_new"))
-    joined = target.join(F.broadcast(new) if small else new, keys, "left")
+    joined = target.join(new, keys, "left")
     return joined.select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new")[name]).otherwise(F.col(name)).alias(name)

@@ -28,7 +28,7 @@ def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, limit: int) -> bool:
     """Measure ``df``: the row count first (file footers only, for a plain table), then its text."""
     variable = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     fixed = _FIXED_WIDTH * (len(df.columns) + 1)
@@ -79,22 +79,25 @@ def spread_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     share: float | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which hot keys of ``left`` are split over several tasks.
 
     ``how`` keeps ``left`` whole (inner, left, left_semi, left_anti).  Rows of a hot key get
     a piece number from a hash of ``spread_by``, which is a function of the row and so the
-    same on every retry; matching rows of ``right`` are repeated once per piece.
+    same on every retry; matching rows of ``right`` are repeated once per piece.  ``hot_from``
+    is a cheaper frame to find the hot keys in when ``left`` is itself costly.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split hot keys in a {how} join")
     keys = _names(on)
-    hot = hot_keys(left, keys, share)
+    types = {field.name: field.dataType for field in left.schema}
+    source = left if hot_from is None else hot_from
+    hot = hot_keys(source.select(*[F.col(key).cast(types[key]) for key in keys]), keys, share)
     if not hot:
         return left.join(right, keys, how)
 
     pieces = F.broadcast(left.sparkSession.createDataFrame(hot, "_hot long, _pieces int"))
-    types = {field.name: field.dataType for field in left.schema}
     left_hash = F.xxhash64(*[left[key] for key in keys])
     right_hash = F.xxhash64(*[right[key].try_cast(types[key]) for key in keys])
     own = F.xxhash64(*[left[c] for c in (spread_by or left.columns)])
@@ -115,12 +118,13 @@ def join_dim(
     on: str | Sequence[str],
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Row-preserving join to a keyed table: broadcast if it measures small, else split hot keys."""
-    if fits_broadcast(dim, limit):
+    if fits_broadcast(dim, BROADCAST_BYTES if limit is None else limit):
         return fact.join(F.broadcast(dim), _names(on), how)
-    return spread_join(fact, dim, on, how, spread_by)
+    return spread_join(fact, dim, on, how, spread_by, hot_from=hot_from)
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], dim_key: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions import rank_label
-from tally.workspace import materialize
+from tally.workspace import store
 
 ONE_TASK_ROWS = 100_000
 GROUP_LIMIT = 1000  # beyond this Spark stops cutting groups before the shuffle
@@ -25,15 +25,16 @@ def rank_all(
     """Number every row by ``order``, which must end in a unique key.
 
     ``bound`` is a known limit on the rows, or the table whose keys the rows are grouped by;
-    when it shows the result to be small, one window does.  Otherwise: one range sort, written
-    once; then each row's rank is its place in its range plus the sizes of the ranges before.
+    when it shows the result to be small, one window does.  Otherwise: one range sort, kept in
+    the shared folder; then each row's rank is its place in its range plus the sizes of the
+    ranges before.  Either way the rows come back in rank order without another sort.
     """
     if bound is not None:
         most = bound if isinstance(bound, int) else bound.count()
         if most <= ONE_TASK_ROWS:
             return df.withColumn(position, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
-    stored = materialize(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "rank")
+    stored = store(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_at"), _ROW_BITS)
     sizes = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,6 +66,7 @@ def ranked(
 
     ``labels`` maps rank to text; ``top=n`` labels the first n ``TOP n``; ``last`` labels the
     final rank whatever it is.  ``only_top`` returns just the first rows, without a full rank.
+    Rows come in rank order.
     """
     if top is not None:
         labels = {**(labels or {}), **{rank: f"TOP {top}" for rank in range(1, top + 1)}}

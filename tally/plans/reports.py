@@ -127,7 +127,7 @@ def departure_justified(
     if only is not None:
         flagged = flagged.filter(F.col("justify") == only)
     placed = ranked(flagged, [F.desc("tickets"), F.asc("flight_id")], only_top=only_top)
-    return placed.select("orden", "year", "flight_id", "tickets", "justify").orderBy("orden")
+    return placed.select("orden", "year", "flight_id", "tickets", "justify")
 
 
 def full_flights(tables: Tables, op: str = "==", only_top: int | None = None) -> DataFrame:
@@ -209,7 +209,7 @@ def revenue_by_date(tables: Tables, year: int) -> DataFrame:
         .agg(F.sum("final_price").cast(MONEY).alias("revenue"), _count().alias("total"))
     )
     placed = ranked(days, [F.desc("revenue"), F.asc("purchase_date")], top=1, bound=DAYS_IN_YEAR)
-    return placed.select("orden", "purchase_date", "revenue", "total", "position").orderBy("orden")
+    return placed.select("orden", "purchase_date", "revenue", "total", "position")
 
 
 # --- demand ----------------------------------------------------------------------------------
@@ -237,6 +237,16 @@ def _chosen_routes(
     return routes
 
 
+def _tickets_per_route(tables: Tables, flights: DataFrame, routes: DataFrame, extra: Sequence[str]) -> DataFrame:
+    """Tickets per chosen route; only ids pass through the join of flights and tickets."""
+    chosen = join_dim(flights, routes.select("route_id"), "route_id", "left_semi", ["flight_id"])
+    return (
+        chosen.join(_tickets_per_flight(tables), "flight_id")
+        .groupBy("route_id", *extra)
+        .agg(F.sum("tickets").alias("tickets"))
+    )
+
+
 def _busiest(
     tables: Tables, key: str, origin: str, destination: str | None, n: int, per_flight: Column | None
 ) -> DataFrame:
@@ -247,8 +257,8 @@ def _busiest(
         flights = tables("flights", "flight_id", "route_id", "start_time_actual").withColumn(key, per_flight)
     group = list(dict.fromkeys([key, "weekday_id", "weekday_name", "city_state"]))
     demand = (
-        join_dim(flights, routes, "route_id", spread_by=["flight_id"])
-        .join(_tickets_per_flight(tables), "flight_id")
+        _tickets_per_route(tables, flights, routes, [key] if per_flight is not None else [])
+        .join(routes, "route_id")
         .groupBy(*group)
         .agg(F.sum("tickets").alias("total_tickets"))
     )
@@ -281,7 +291,7 @@ def months_by_tickets(tables: Tables, year: int, mark_last: bool = False) -> Dat
     placed = ranked(
         months, [F.desc("tickets"), F.asc("month")], labels, last="LOWEST" if mark_last else None, bound=12
     )
-    return placed.select("orden", "year", "month", "tickets", "position").orderBy("orden")
+    return placed.select("orden", "year", "month", "tickets", "position")
 
 
 def _tickets_by(tables: Tables, key: str, date: str, year: int) -> DataFrame:
@@ -310,8 +320,8 @@ def _lookup_ranking(
     named = counted.join(dim.withColumnRenamed("name", name), key)
     placed = ranked(named, [F.desc("total"), F.asc(key)], top=top, bound=dim, only_top=only_top)
     shown = ["orden", "year", key, name, "total"] + (["position"] if top is not None else [])
-    order = [F.asc("total"), F.desc("orden")] if ascending else [F.desc("total"), F.asc("orden")]
-    return placed.select(*shown).orderBy(*order)
+    shown_rows = placed.select(*shown)
+    return shown_rows.orderBy(F.asc("total"), F.desc("orden")) if ascending else shown_rows
 
 
 def employees_by_tickets(tables: Tables, year: int, top: int = 3, only_top: int | None = None) -> DataFrame:
@@ -319,9 +329,7 @@ def employees_by_tickets(tables: Tables, year: int, top: int = 3, only_top: int
     counted = _tickets_by(tables, "employee_id", "purchase_date", year)
     named = counted.join(staff, "employee_id").withColumn("name", full_name("first_name", "last_name"))
     placed = ranked(named, [F.desc("total"), F.asc("employee_id")], top=top, bound=staff, only_top=only_top)
-    return placed.select("orden", "year", "employee_id", "name", "total", "position").orderBy(
-        F.desc("total"), F.asc("orden")
-    )
+    return placed.select("orden", "year", "employee_id", "name", "total", "position")
 
 
 def cabin_types_by_tickets(tables: Tables, year: int) -> DataFrame:
@@ -349,7 +357,7 @@ def hours_by_tickets(tables: Tables, year: int) -> DataFrame:
     )
     # 24 hours and the missing one
     placed = ranked(hours, [F.desc("total"), F.asc("purchase_time")], top=1, bound=25)
-    return placed.select("orden", "purchase_time", "total", "position").orderBy("orden")
+    return placed.select("orden", "purchase_time", "total", "position")
 
 
 def _residents(tables: Tables, people: str, place: str, key: str, top: int, only_top: int | None) -> DataFrame:
@@ -357,7 +365,7 @@ def _residents(tables: Tables, people: str, place: str, key: str, top: int, only
     counted = tables(people, key).filter(F.col(key).isNotNull()).groupBy(key).agg(_count().alias("total"))
     named = counted.join(places, key)
     placed = ranked(named, [F.desc("total"), F.asc(key)], top=top, bound=places, only_top=only_top)
-    return placed.select("orden", "name", "total", "position").orderBy("orden")
+    return placed.select("orden", "name", "total", "position")
 
 
 def cities_by_customers(tables: Tables, top: int = 3, only_top: int | None = None) -> DataFrame:
@@ -376,7 +384,7 @@ def customers_by_tickets(tables: Tables, year: int, top: int = 3, only_top: int
     counted = _tickets_by(tables, "customer_id", "purchase_date", year)
     order = [F.desc("total"), F.asc("customer_id")]
     placed = ranked(counted.join(people, "customer_id"), order, top=top, only_top=only_top)
-    return placed.select("orden", "year", "customer_name", "total", "position").orderBy("orden")
+    return placed.select("orden", "year", "customer_name", "total", "position")
 
 
 def weekend_routes(
@@ -388,17 +396,12 @@ def weekend_routes(
     )
     flights = tables("flights", "flight_id", "date", "route_id").filter(in_year("date", year))
     flights = flights.select("flight_id", "route_id", F.year("date").alias("year"))
-    used = (
-        join_dim(flights, routes, "route_id", spread_by=["flight_id"])
-        .join(_tickets_per_flight(tables), "flight_id")
-        .groupBy("year", "weekday_name", "route_id", "start_time", "city_state_origin_name")
-        .agg(F.sum("tickets").alias("tickets"))
-    )
+    used = _tickets_per_route(tables, flights, routes, ["year"]).join(routes, "route_id")
     order = [F.desc("tickets"), F.asc("route_id")]
     placed = ranked(used, order, top=1, bound=tables("routes", "route_id"), only_top=only_top)
     return placed.select(
         "orden", "year", "weekday_name", "route_id", "start_time", "city_state_origin_name", "tickets", "position"
-    ).orderBy("orden")
+    )
 
 
 # --- people ----------------------------------------------------------------------------------
@@ -453,7 +456,9 @@ def _flown_per_customer(tables: Tables, years: Sequence[int]) -> DataFrame:
         .filter(F.col("customer_id").isNotNull() & F.col("flight_id").isNotNull())
         .drop("boarding_date")
     )
-    known = join_dim(tickets, tables("flights", "flight_id"), "flight_id", "left_semi", ["ticket_id"])
+    flights = tables("flights", "flight_id")
+    boarded = tables("tickets", "flight_id", "boarding_date").filter(in_year("boarding_date", *years))
+    known = join_dim(tickets, flights, "flight_id", "left_semi", ["ticket_id"], hot_from=boarded)
     return known.groupBy("customer_id").agg(_count().alias("n"))
 
 

@@ -1,8 +1,8 @@
 """Where intermediate tables go.
 
-Some operators need a result to be computed once and read several times.  They
-write it as parquet into the folder the cluster shares (``spark.checkpoint.dir``)
-so that a lost executor costs a re-read, never a recomputation that could differ.
+Some operators need a result to be computed once and read several times.  They keep
+it in the folder the cluster shares (``spark.checkpoint.dir``), so that a lost executor
+costs a re-read, never a recomputation that could differ.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tally/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and hand back the written table."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def store(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, partition by partition in its order."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

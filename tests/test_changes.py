@@ -92,11 +92,7 @@ def test_latest_per_key(spark):
     assert rows(latest_per_key(changes, "k", F.col("seq"))) == [(1, 3, "c"), (2, 1, "x")]
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 26])
-def test_apply_updates(spark, monkeypatch, limit):
-    from tally.operators import changes as module
-
-    monkeypatch.setattr(module, "fits_broadcast", lambda df: limit > 0)
+def test_apply_updates(spark):
     target = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, "c", 30)], "k int, name string, n int")
     changes = spark.createDataFrame([(2, None, 21), (3, "C", 31), (9, "z", 99)], "k int, name string, n int")
     assert rows(apply_updates(target, changes, "k", ["name", "n"])) == [(1, "a", 10), (2, None, 21), (3, "C", 31)]

@@ -84,5 +84,5 @@ def test_workspace_is_the_folder_the_session_names(spark):
     assert workspace.shared_dir(spark) == folder
     path = workspace.fresh_path(spark, "x")
     assert path.startswith(folder) and path != workspace.fresh_path(spark, "x")
-    assert rows(workspace.materialize(spark.range(2), "t")) == [(0,), (1,)]
+    assert rows(workspace.store(spark.range(2))) == [(0,), (1,)]
     assert os.path.isdir(folder)
