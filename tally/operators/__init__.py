@@ -1,0 +1,77 @@
+from tally.operators.aggregates import (
+    conditional_counts,
+    counts_per_outer,
+    monthly_presence_ratio,
+    presence_ratio,
+)
+from tally.operators.changes import (
+    apply_updates,
+    audit_changes,
+    classify,
+    latest_per_key,
+    pair_images,
+    replay,
+)
+from tally.operators.joins import (
+    fits_broadcast,
+    hot_keys,
+    join_dim,
+    lookup,
+    semi_theta,
+    spread_join,
+)
+from tally.operators.quality import (
+    check_columns,
+    check_date_range,
+    check_length_bounds,
+    check_max_length,
+    check_not_null,
+    check_references,
+    check_rules,
+    check_unique,
+    clamp_to_reference,
+    fill_defaults,
+    judge_against_reference,
+    orphans,
+    tolerance_summary,
+    valid_on,
+)
+from tally.operators.ranking import extremes, first_n, rank_all, ranked, top_n_per_group
+
+__all__ = [
+    "apply_updates",
+    "audit_changes",
+    "check_columns",
+    "check_date_range",
+    "check_length_bounds",
+    "check_max_length",
+    "check_not_null",
+    "check_references",
+    "check_rules",
+    "check_unique",
+    "clamp_to_reference",
+    "classify",
+    "conditional_counts",
+    "counts_per_outer",
+    "extremes",
+    "fill_defaults",
+    "first_n",
+    "fits_broadcast",
+    "hot_keys",
+    "join_dim",
+    "judge_against_reference",
+    "latest_per_key",
+    "lookup",
+    "monthly_presence_ratio",
+    "orphans",
+    "pair_images",
+    "presence_ratio",
+    "rank_all",
+    "ranked",
+    "replay",
+    "semi_theta",
+    "spread_join",
+    "tolerance_summary",
+    "top_n_per_group",
+    "valid_on",
+]

@@ -67,6 +67,17 @@ def check_max_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return _long_counts(df, {c: _times(F.length(c) > n) for c, n in limits.items()}, "column")
 
 
+def check_columns(df: DataFrame, required: Sequence[str], limits: Mapping[str, int]) -> DataFrame:
+    """(kind, column, violations) for required columns and text limits together, in one pass."""
+    counts = {("required", c): _times(F.col(c).isNull()) for c in required}
+    counts |= {("length", c): _times(F.length(c) > n) for c, n in limits.items()}
+    named = {f"{kind} {column}": count for (kind, column), count in counts.items()}
+    parts = F.split("label", " ")
+    return _long_counts(df, named, "label").select(
+        parts[0].alias("kind"), parts[1].alias("column"), "violations"
+    )
+
+
 def check_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """(rule, violations) for named SQL conditions; an unknown result passes, as in CHECK."""
     return _long_counts(df, {name: _times(~F.expr(text)) for name, text in rules.items()}, "rule")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.quality import check_max_length, check_not_null, check_references, check_unique
+from tally.operators.quality import check_columns, check_references, check_unique
 from tally.plans.reports import Tables
 from tally.schemas import MAX_LENGTHS, PRIMARY_KEYS, REFERENCES, REQUIRED
 
@@ -33,13 +33,8 @@ def declared_checks(tables: Tables, names: Sequence[str]) -> DataFrame:
         key = PRIMARY_KEYS[name]
         repeated = check_unique(tables(name, *key), key).agg(F.sum("rows").alias("violations"))
         found.append(_row(repeated, "primary key", name, ", ".join(key), "violations"))
-        rows = tables(name)
-        for kind, checked in (
-            ("required", check_not_null(rows, REQUIRED[name])),
-            ("length", check_max_length(rows, MAX_LENGTHS[name]) if MAX_LENGTHS[name] else None),
-        ):
-            if checked is not None:
-                found.append(checked.select(F.lit(kind).alias("kind"), F.lit(name).alias("table"), "column", "violations"))
+        columns = check_columns(tables(name), REQUIRED[name], MAX_LENGTHS[name])
+        found.append(columns.select("kind", F.lit(name).alias("table"), "column", "violations"))
     for child, column, parent, parent_key in REFERENCES:
         if child in names and parent in names:
             missing = check_references(tables(child, column), column, tables(parent, parent_key), parent_key)

@@ -221,7 +221,11 @@ def _chosen_routes(
     destination: str | None,
     weekdays: Sequence[int] = (),
     city_how: str = "left",
+    ignore_case: bool = False,
 ) -> DataFrame:
+    def named(column: str, name: str) -> Column:
+        return loosely(column) == loosely(F.lit(name)) if ignore_case else F.col(column) == name
+
     routes = tables(
         "routes", "route_id", "weekday_id", "start_time", "city_state_id_origin", "city_state_id_destination"
     )
@@ -230,9 +234,9 @@ def _chosen_routes(
     routes = routes.join(_weekdays(tables), "weekday_id")
     routes = routes.join(_city(tables, "city_state_id_origin", "city_state"), "city_state_id_origin", city_how)
     if origin is not None:
-        routes = routes.filter(F.col("city_state") == origin)
+        routes = routes.filter(named("city_state", origin))
     if destination is not None:
-        ends = _city(tables, "city_state_id_destination", "city_state_to").filter(F.col("city_state_to") == destination)
+        ends = _city(tables, "city_state_id_destination", "city_state_to").filter(named("city_state_to", destination))
         routes = routes.join(ends.drop("city_state_to"), "city_state_id_destination", "left_semi")
     return routes
 
@@ -248,9 +252,17 @@ def _tickets_per_route(tables: Tables, flights: DataFrame, routes: DataFrame, ex
 
 
 def _busiest(
-    tables: Tables, key: str, origin: str, destination: str | None, n: int, per_flight: Column | None
+    tables: Tables,
+    key: str,
+    origin: str,
+    destination: str | None,
+    n: int,
+    per_flight: Column | None,
+    ignore_case: bool,
 ) -> DataFrame:
-    routes = _chosen_routes(tables, origin, destination).select("route_id", "weekday_id", "weekday_name", "city_state")
+    routes = _chosen_routes(tables, origin, destination, ignore_case=ignore_case).select(
+        "route_id", "weekday_id", "weekday_name", "city_state"
+    )
     if per_flight is None:
         flights = tables("flights", "flight_id", "route_id")
     else:
@@ -266,17 +278,24 @@ def _busiest(
     return best.select("position", *group, "total_tickets").orderBy("weekday_id", "position")
 
 
-def busiest_routes(tables: Tables, origin: str, destination: str | None = None, n: int = 1) -> DataFrame:
+def busiest_routes(
+    tables: Tables, origin: str, destination: str | None = None, n: int = 1, ignore_case: bool = False
+) -> DataFrame:
     """Best-selling routes of each weekday from a city."""
-    return _busiest(tables, "route_id", origin, destination, n, None)
+    return _busiest(tables, "route_id", origin, destination, n, None, ignore_case)
 
 
 def busiest_times(
-    tables: Tables, origin: str, destination: str | None = None, n: int = 1, hour: bool = False
+    tables: Tables,
+    origin: str,
+    destination: str | None = None,
+    n: int = 1,
+    hour: bool = False,
+    ignore_case: bool = False,
 ) -> DataFrame:
     """Best-selling departure times (or hours) of each weekday from a city."""
     departure = hour_of("start_time_actual") if hour else F.col("start_time_actual")
-    return _busiest(tables, "start_time_actual", origin, destination, n, departure)
+    return _busiest(tables, "start_time_actual", origin, destination, n, departure, ignore_case)
 
 
 def months_by_tickets(tables: Tables, year: int, mark_last: bool = False) -> DataFrame:
@@ -482,7 +501,12 @@ def city_gender_counts(tables: Tables, years: Sequence[int], n: int = 20) -> Dat
 
 
 def top_cities_by_age_group(
-    tables: Tables, years: Sequence[int], as_of: datetime.date, n: int = 3, by_flights: bool = False
+    tables: Tables,
+    years: Sequence[int],
+    as_of: datetime.date,
+    n: int = 3,
+    by_flights: bool = False,
+    bands: Sequence[tuple[int, int, str]] = AGE_BANDS,
 ) -> DataFrame:
     """Best cities of each age group by customers that flew.
 
@@ -490,7 +514,7 @@ def top_cities_by_age_group(
     ``by_flights`` breaks ties of customers by flights before the city name.
     """
     people = tables("customers", "customer_id", "birth_date", "city_state_id").select(
-        "customer_id", "city_state_id", band(year_diff("birth_date", F.lit(as_of)), AGE_BANDS).alias("age_group")
+        "customer_id", "city_state_id", band(year_diff("birth_date", F.lit(as_of)), bands).alias("age_group")
     )
     per_city = (
         _flown_per_customer(tables, years)
@@ -536,3 +560,17 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
     "v08": lambda t, years=(2016, 2017), **kw: city_gender_counts(t, years, **kw),
     "v09": lambda t, as_of, years=(2016, 2017), **kw: top_cities_by_age_group(t, years, as_of, **kw),
 }
+
+VIEWS = {
+    "youngest_customers": "v06",
+    "top_routes_by_weekday": "v07",
+    "city_gender_counts": "v08",
+    "top_cities_by_age_group": "v09",
+}
+
+
+def register_views(tables: Tables, as_of: datetime.date) -> None:
+    """The four view reports as temporary views for ``spark.sql``."""
+    for name, key in VIEWS.items():
+        dated = {"as_of": as_of} if key in ("v06", "v09") else {}
+        REPORTS[key](tables, **dated).createOrReplaceTempView(name)

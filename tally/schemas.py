@@ -126,6 +126,13 @@ MAX_LENGTHS: dict[str, dict[str, int]] = {
     for table, text in _COLUMNS.items()
 }
 
+# Dates the reports filter on, by which large tables are laid out.
+CLUSTER_BY: dict[str, str] = {
+    "tickets": "boarding_date",
+    "flights": "date",
+    "planes_maintenances": "date",
+}
+
 AUDIT = T.StructType(
     [
         T.StructField("aud_id", T.StringType()),

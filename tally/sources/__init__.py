@@ -1,4 +1,4 @@
-from tally.sources.insert_text import read_insert_dump, write_insert_dump
-from tally.sources.tables import ParquetTables, append, load
+from tally.sources.insert_text import import_dump, read_insert_dump, write_insert_dump
+from tally.sources.tables import ParquetTables, append, load, save
 
-__all__ = ["ParquetTables", "append", "load", "read_insert_dump", "write_insert_dump"]
+__all__ = ["ParquetTables", "append", "import_dump", "load", "read_insert_dump", "save", "write_insert_dump"]

@@ -6,10 +6,14 @@ is passed over, so several tables may share a file.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tally.workspace import fresh_path
+
 _QUOTED = r"N?'[^']*+(?:''[^']*+)*+'"
 _LITERAL = rf"CAST\(\s*(?:{_QUOTED}|[^\s']+)\s+AS\s+[^()]*(?:\([^()]*\))?\s*\)|{_QUOTED}|[^\s,()']+"
 _HEAD = r"(?i)^\s*INSERT\s+(?:INTO\s+)?(?:\[?\w+\]?\.)?\[?(\w+)\]?\s*\(([^)]*)\)\s*VALUES\s*\((.*)\)\s*;?\s*$"
@@ -31,13 +35,14 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return text if isinstance(kind, T.StringType) else text.cast(kind)
 
 
-def read_insert_dump(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of ``table``; columns are matched by the statement's own column list."""
+def _statements(spark: SparkSession, path: str) -> DataFrame:
+    """(table, column -> text) of every INSERT line."""
     line = F.col("value")
-    statements = (
+    return (
         spark.read.text(path)
-        .filter(F.lower(F.regexp_extract(line, _HEAD, 1)) == table.lower())
+        .filter(line.contains("(") & (F.regexp_extract(line, _HEAD, 1) != ""))
         .select(
+            F.lower(F.regexp_extract(line, _HEAD, 1)).alias("table"),
             F.transform(
                 F.split(F.regexp_extract(line, _HEAD, 2), ","),
                 lambda name: F.lower(F.regexp_replace(name, r"[\[\]\s]", "")),
@@ -46,9 +51,12 @@ def read_insert_dump(spark: SparkSession, path: str, table: str, schema: T.Struc
                 F.regexp_extract_all(F.regexp_extract(line, _HEAD, 3), F.lit(f"(?i)({_LITERAL})"), F.lit(1)), _value
             ).alias("texts"),
         )
-        .select(F.map_from_arrays("names", "texts").alias("row"))
+        .select("table", F.map_from_arrays("names", "texts").alias("row"))
     )
-    return statements.select(
+
+
+def _rows(statements: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    return statements.filter(F.col("table") == table.lower()).select(
         *[
             _typed(F.try_element_at("row", F.lit(field.name.lower())), field.dataType).alias(field.name)
             for field in schema
@@ -56,6 +64,23 @@ def read_insert_dump(spark: SparkSession, path: str, table: str, schema: T.Struc
     )
 
 
+def read_insert_dump(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``table``; columns are matched by the statement's own column list."""
+    return _rows(_statements(spark, path), table, schema)
+
+
+def import_dump(spark: SparkSession, path: str, directory: str, schemas: Mapping[str, T.StructType]) -> None:
+    """All tables of a dump to ``directory/<table>.parquet``; tables without rows come out empty.
+
+    The text is taken apart once, into a table partitioned by name; each output reads its part.
+    """
+    staged = fresh_path(spark, "dump")
+    _statements(spark, path).write.partitionBy("table").parquet(staged)
+    parts = spark.read.schema("row map<string,string>, table string").parquet(staged)
+    for table, schema in schemas.items():
+        _rows(parts, table, schema).write.mode("overwrite").parquet(f"{directory}/{table}.parquet")
+
+
 def _literal(field: T.StructField) -> Column:
     text = F.col(f"`{field.name}`").cast("string")
     quoted = F.concat(F.lit("N'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tally.schemas import TABLES
+from tally.schemas import CLUSTER_BY, PRIMARY_KEYS, TABLES
 
 
 def load(spark: SparkSession, directory: str, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -17,6 +17,20 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def save(df: DataFrame, directory: str, name: str, mode: str = "errorifexists") -> None:
+    """Store a declared table; one with a date is laid out along it.
+
+    Files then cover narrow date ranges, and the year filters of the reports skip whole files
+    and row groups.  The key is part of the range, so a day with very many rows is split.
+    Not bucketed by flight: a single hot flight would make one bucket a share of the table.
+    """
+    laid_out = df
+    if name in CLUSTER_BY:
+        order = [CLUSTER_BY[name], *PRIMARY_KEYS[name]]
+        laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    laid_out.write.mode(mode).parquet(f"{directory}/{name}.parquet")
+
+
 class ParquetTables:
     """``tables("tickets", "flight_id", "final_price")``: only the named columns are read."""
 
@@ -27,3 +41,8 @@ class ParquetTables:
     def __call__(self, name: str, *columns: str) -> DataFrame:
         table = load(self.spark, self.directory, name)
         return table.select(*columns) if columns else table
+
+    def register(self, *names: str) -> None:
+        """Make tables (all by default) known to ``spark.sql`` under their own names."""
+        for name in names or TABLES:
+            self(name).createOrReplaceTempView(name)

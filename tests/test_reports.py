@@ -247,6 +247,11 @@ def test_busiest_routes_with_destination_and_runner_up(network):
     assert [(r[0], r[1], r[2]) for r in got] == [(1, 5, 1), (1, 1, 6), (2, 2, 6)]
 
 
+def test_busiest_routes_of_a_loosely_written_city(network):
+    assert plain(REPORTS["r06"](network, origin="tampa ")) == []
+    assert plain(REPORTS["r06"](network, origin="tampa ", ignore_case=True)) == plain(REPORTS["r06"](network))
+
+
 def test_busiest_times(network):
     # a missing departure time is a time like any other
     assert plain(REPORTS["r07"](network)) == [(1, None, 6, "Saturday", "Orlando", 3)]
@@ -464,6 +469,9 @@ def test_age_groups(travellers):
         "56 - 70": [(1, "Orlando", 1, 7), (2, "Tampa", 1, 6)],
         "71 - 100": [(1, "Tampa", 2, 17)],
     }
+    older = [(0, 70, "up to 70"), (71, 200, "71 or older")]
+    grouped = plain(REPORTS["v09"](travellers, as_of=d("2021-12-31"), bands=older))
+    assert {r[2] for r in grouped} == {"up to 70", "71 or older"}
     by_flights = plain(REPORTS["v09"](travellers, as_of=d("2021-12-31"), by_flights=True))
     assert [r[1] for r in by_flights if r[2] == "41 - 55"] == ["Tampa", "Orlando"]
 
@@ -471,3 +479,12 @@ def test_age_groups(travellers):
 def test_every_report_is_listed():
     wanted = {f"r{i:02d}" for i in range(1, 21) if i != 4} | {"r04a", "r04b"} | {f"v{i:02d}" for i in range(6, 10)}
     assert set(REPORTS) == wanted
+
+
+def test_views_answer_sql(spark, travellers):
+    reports.register_views(HandMade(spark, **{**travellers.tables, "routes": [], "weekdays": WEEKDAYS}), d("2021-12-31"))
+    got = spark.sql("SELECT city_name FROM top_cities_by_age_group WHERE age_group = '26 - 40'").collect()
+    assert [r.city_name for r in got] == ["Tampa"]
+    assert spark.sql("SELECT * FROM city_gender_counts").count() == 2
+    assert spark.sql("SELECT * FROM youngest_customers").count() == 11
+    assert spark.sql("SELECT * FROM top_routes_by_weekday").count() == 0

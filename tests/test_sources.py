@@ -3,11 +3,12 @@ import os
 import pytest
 from booking import d, money
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally import workspace
 from tally.schemas import TABLES
-from tally.sources import ParquetTables, append, load, read_insert_dump, write_insert_dump
+from tally.sources import ParquetTables, append, import_dump, load, read_insert_dump, save, write_insert_dump
 
 TEXT = """--INSERT TABLE [employees]
 
@@ -86,3 +87,33 @@ def test_workspace_is_the_folder_the_session_names(spark):
     assert path.startswith(folder) and path != workspace.fresh_path(spark, "x")
     assert rows(workspace.store(spark.range(2))) == [(0,), (1,)]
     assert os.path.isdir(folder)
+
+
+def test_import_of_a_whole_dump(spark, dump, tmp_path):
+    chosen = {name: TABLES[name] for name in ("employees", "discounts", "routes", "states")}
+    import_dump(spark, dump, str(tmp_path / "db"), chosen)
+    tables = ParquetTables(spark, str(tmp_path / "db"))
+    assert {name: tables(name).count() for name in chosen} == {"employees": 3, "discounts": 1, "routes": 1, "states": 0}
+    tables.register(*chosen)
+    assert spark.sql("SELECT name FROM discounts").first()["name"] == "Half "
+
+
+def test_saved_flights_are_laid_out_by_date(spark, tmp_path):
+    days = spark.range(4000).selectExpr(
+        "CAST(id AS INT) AS flight_id",
+        "date_add(DATE'2016-01-01', CAST(id * 7919 % 1460 AS INT)) AS date",
+        "'06:00:00' AS start_time_actual",
+        "'07:00:00' AS end_time_actual",
+        "1 AS route_id",
+        "1 AS plane_id",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        save(days, str(tmp_path), "flights")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = ParquetTables(spark, str(tmp_path))("flights")
+    spans = stored.groupBy(F.input_file_name()).agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()
+    ends = sorted((r.lo, r.hi) for r in spans)
+    assert len(ends) > 4 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert rows(stored) == rows(days)
