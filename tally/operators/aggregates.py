@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions import in_year, ratio
+from tally.operators.joins import spread_join
 
 
 def conditional_counts(
@@ -54,7 +55,13 @@ def monthly_presence_ratio(df: DataFrame, col: str, years: Sequence[int], year_c
     )
 
 
-def counts_per_outer(outer: DataFrame, inner: DataFrame, key: str, name: str) -> DataFrame:
-    """For each row of ``outer`` the number of ``inner`` rows with its key, 0 when none."""
+def counts_per_outer(
+    outer: DataFrame, inner: DataFrame, key: str, name: str, unique_outer: bool = True
+) -> DataFrame:
+    """For each row of ``outer`` the number of ``inner`` rows with its key, 0 when none.
+
+    ``unique_outer=False`` says that ``key`` may repeat in ``outer``; hot keys are then split.
+    """
     counted = inner.groupBy(key).agg(F.count("*").alias(name))
-    return outer.join(counted, key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
+    joined = outer.join(counted, key, "left") if unique_outer else spread_join(outer, counted, key, "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))

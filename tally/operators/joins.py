@@ -97,19 +97,33 @@ def spread_join(
     if not hot:
         return left.join(right, keys, how)
 
+    split, repeated = _cut(left, right, keys, keys, hot, spread_by)
+    return split.join(repeated, [*keys, "_piece"], how).drop("_piece")
+
+
+def _cut(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    hot: list[tuple[int, int]],
+    spread_by: Sequence[str] | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_piece``: one per row of ``left``, all of its key's for ``right``."""
     pieces = F.broadcast(left.sparkSession.createDataFrame(hot, "_hot long, _pieces int"))
-    left_hash = F.xxhash64(*[left[key] for key in keys])
-    right_hash = F.xxhash64(*[right[key].try_cast(types[key]) for key in keys])
+    left_hash = F.xxhash64(*[left[key] for key in left_keys])
+    # equal keys of different types must hash alike
+    right_hash = F.xxhash64(
+        *[right[own].try_cast(left.schema[key].dataType) for key, own in zip(left_keys, right_keys)]
+    )
     own = F.xxhash64(*[left[c] for c in (spread_by or left.columns)])
-
     split = left.join(pieces, left_hash == F.col("_hot"), "left").withColumn(
         "_piece", F.coalesce(F.pmod(own, F.col("_pieces")), F.lit(0)).cast("int")
     )
     repeated = right.join(pieces, right_hash == F.col("_hot"), "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     )
-    joined = split.drop("_hot", "_pieces").join(repeated.drop("_hot", "_pieces"), [*keys, "_piece"], how)
-    return joined.drop("_piece")
+    return split.drop("_hot", "_pieces"), repeated.drop("_hot", "_pieces")
 
 
 def join_dim(
@@ -135,11 +149,27 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], dim_ke
     return join_dim(df, picked, key, "left")
 
 
-def semi_theta(left: DataFrame, right: DataFrame, key: str, residual: Column) -> DataFrame:
+def semi_theta(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    residual: Column,
+    spread_by: Sequence[str] | None = None,
+    limit: int | None = None,
+) -> DataFrame:
     """Rows of ``left`` with a partner in ``right`` on ``key`` that also meets ``residual``.
 
-    Name the sides' columns apart before calling; the range stays a residual of the hash or
-    merge join.
+    The sides' other columns must differ in name, so that ``residual`` can use both.  The range
+    stays a residual of the hash or merge join on the key.
     """
-    renamed = right.withColumnRenamed(key, f"_{key}")
-    return left.join(renamed, (F.col(key) == F.col(f"_{key}")) & residual, "left_semi")
+    other = f"_{key}"
+    renamed = right.withColumnRenamed(key, other)
+    matched = (F.col(key) == F.col(other)) & residual
+    if fits_broadcast(renamed, BROADCAST_BYTES if limit is None else limit):
+        return left.join(F.broadcast(renamed), matched, "left_semi")
+    hot = hot_keys(left.select(key), key)
+    if not hot:
+        return left.join(renamed, matched, "left_semi")
+    split, repeated = _cut(left, renamed, [key], [other], hot, spread_by)
+    repeated = repeated.withColumnRenamed("_piece", "_own_piece")
+    return split.join(repeated, matched & (F.col("_piece") == F.col("_own_piece")), "left_semi").drop("_piece")

@@ -117,17 +117,20 @@ def judge_against_reference(
 
     ``ref`` must hold one row per key (see :func:`check_unique`, :func:`valid_on`).
     """
-    listed = ref.select(*keys, F.col(ref_value).alias("reference_value"))
-    joined = join_dim(changes, listed, keys, "left", spread_by)
-    low = F.col("reference_value") * F.lit(Decimal(1) - pct)
-    high = F.col("reference_value") * F.lit(Decimal(1) + pct)
+    listed = ref.select(
+        *keys,
+        F.col(ref_value).alias("reference_value"),
+        (F.col(ref_value) * F.lit(Decimal(1) - pct)).alias("_low"),
+        (F.col(ref_value) * F.lit(Decimal(1) + pct)).alias("_high"),
+    )
     verdict = (
         F.when(F.col("reference_value").isNull(), UNPRICED)
         .when(F.col(value).isNull(), EMPTY)
-        .when(F.col(value).between(low, high), ACCEPTED)
+        .when(F.col(value).between(F.col("_low"), F.col("_high")), ACCEPTED)
         .otherwise(CLAMPED)
     )
-    return joined.withColumn("verdict", verdict)
+    joined = join_dim(changes, listed, keys, "left", spread_by)
+    return joined.withColumn("verdict", verdict).drop("_low", "_high")
 
 
 def clamp_to_reference(

@@ -91,16 +91,16 @@ def top_n_per_group(
     order: Sequence[Column],
     n: int,
     position: str = "position",
-    pieces: int = 64,
 ) -> DataFrame:
     """Best ``n`` rows of each group by ``order``, which must end in a unique key.
 
     Up to ``GROUP_LIMIT`` Spark itself keeps only n rows per group and task before shuffling.
-    For larger n the groups are first cut in ``pieces`` so that a huge group is never sorted
-    by one task.
+    For larger n every group is first cut over all shuffle partitions, so that a huge group is
+    never sorted by one task.
     """
     part = [part] if isinstance(part, str) else list(part)
     if n > GROUP_LIMIT:
+        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
         within = Window.partitionBy(*part, "_piece").orderBy(*order)
         df = (

@@ -303,8 +303,9 @@ def months_by_tickets(tables: Tables, year: int, mark_last: bool = False) -> Dat
     flights = tables("flights", "flight_id", "date").filter(in_year("date", year))
     months = (
         flights.join(_tickets_per_flight(tables), "flight_id")
-        .groupBy(F.year("date").alias("year"), month_label("date").alias("month"))
+        .groupBy(F.trunc("date", "month").alias("first_day"))
         .agg(F.sum("tickets").alias("tickets"))
+        .select(F.year("first_day").alias("year"), month_label("first_day").alias("month"), "tickets")
     )
     labels = {1: "HIGHEST"} if mark_last else {1: "HIGHEST", 12: "LOWEST"}
     placed = ranked(
@@ -317,8 +318,9 @@ def _tickets_by(tables: Tables, key: str, date: str, year: int) -> DataFrame:
     return (
         tables("tickets", key, date)
         .filter(in_year(date, year) & F.col(key).isNotNull())
-        .groupBy(F.year(date).alias("year"), key)
+        .groupBy(key)
         .agg(_count().alias("total"))
+        .withColumn("year", F.lit(year))
     )
 
 

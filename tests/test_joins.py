@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tally.operators.aggregates import counts_per_outer
 from tally.operators.joins import fits_broadcast, hot_keys, join_dim, lookup, semi_theta, spread_join
 
 
@@ -75,6 +76,22 @@ def test_lookup_gives_null_without_a_match(spark):
     ]
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_semi_theta_with_a_hot_key(spark, skewed, limit):
+    spans = spark.range(0, 300).selectExpr("CAST(id AS INT) AS k", "id * 10 AS lo", "id * 10 + 2000 AS hi")
+    inside = F.col("row").between(F.col("lo"), F.col("hi"))
+    want = skewed.join(spans.withColumnRenamed("k", "other"), (F.col("k") == F.col("other")) & inside, "left_semi")
+    got = semi_theta(skewed, spans, "k", inside, limit=limit)
+    assert rows(got) == rows(want) and got.columns == skewed.columns
+
+
+def test_counts_per_outer_with_repeated_keys(spark, skewed):
+    inner = spark.range(900).select((F.col("id") % 11).alias("k"))
+    got = counts_per_outer(skewed, inner, "k", "n", unique_outer=False)
+    assert rows(got) == rows(counts_per_outer(skewed, inner, "k", "n"))
+    assert got.filter("n = 0").count() > 0
+
+
 def test_semi_theta_needs_key_and_range(spark):
     left = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (None, 10)], "k int, x int")
     right = spark.createDataFrame([(1, 5, 15), (1, 8, 12), (3, 0, 99)], "k int, lo int, hi int")
