@@ -201,7 +201,7 @@ class EventTickets:
             .select(
                 F.col("event_id").alias("ticket_id"),
                 F.to_date(at).alias("purchase_date"),
-                F.when(F.col("event_id") % 40 != 0, F.date_format(at, "HH:mm:ss")).alias("purchase_time"),
+                F.when(F.col("event_id") % 40 != 0, F.substring(at.cast("string"), 12, 8)).alias("purchase_time"),
             )
             .select(*columns)
         )
