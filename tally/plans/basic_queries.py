@@ -133,13 +133,13 @@ def snk_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "snk_update",
     """
-    SELECT customer_id, CASE WHEN customer_id % 4 = 0 THEN 'NEW ' || first_name ELSE first_name END AS first_name,
-           CASE WHEN customer_id % 4 = 0 THEN NULL ELSE gender END AS gender FROM customers""",
+    SELECT customer_id, CASE WHEN gender = 'F' THEN 'NEW ' || first_name ELSE first_name END AS first_name,
+           CASE WHEN gender = 'F' THEN NULL ELSE gender END AS gender FROM customers""",
     "customers",
 )
 def snk_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = OrderTables(spark, sf_dir)("customers", "customer_id", "first_name", "gender")
-    changes = people.filter(F.col("customer_id") % 4 == 0).select(
+    changes = people.filter(F.col("gender") == "F").select(
         "customer_id", F.concat(F.lit("NEW "), "first_name").alias("first_name"), F.lit(None).cast("string").alias("gender")
     )
     return apply_updates(people, changes, "customer_id", ["first_name", "gender"])
@@ -208,7 +208,13 @@ def _filtered(key: str, table: str, cols: str, sql: str, condition: str) -> None
 
 
 _filtered("flt_eq", "cities_states", "city_state_id, name", "name = 'CITY_3'", "name = 'CITY_3'")
-_filtered("flt_cmp", "flights", "flight_id, plane_id", "flight_id >= 100 AND plane_id <> 2", "flight_id >= 100 AND plane_id != 2")
+_filtered(
+    "flt_cmp",
+    "tickets",
+    "flight_id, ticket_id, final_price, purchase_location_id",
+    "final_price >= 90000 AND purchase_location_id <> 'F'",
+    "final_price >= 90000 AND purchase_location_id != 'F'",
+)
 _filtered("flt_in", "routes", "route_id, weekday_id", "weekday_id IN (6, 7)", "weekday_id IN (6, 7)")
 _filtered("flt_null", "customers", "customer_id, gender", "gender IS NULL", "gender IS NULL")
 _filtered(
@@ -377,15 +383,15 @@ def jn_semi_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     "jn_selfkey",
     """
     SELECT coalesce(b.p_partkey, a.p_partkey) AS p_partkey, b.p_size AS size_before, a.p_size AS size_after
-    FROM (SELECT * FROM part WHERE p_partkey % 5 <> 0) b
-    FULL JOIN (SELECT p_partkey, p_size + p_partkey % 2 AS p_size FROM part WHERE p_partkey % 7 <> 0) a
+    FROM (SELECT * FROM part WHERE p_brand <> 'Brand#3') b
+    FULL JOIN (SELECT p_partkey, p_size + p_partkey % 2 AS p_size FROM part WHERE p_type <> 'ECONOMY') a
     ON a.p_partkey = b.p_partkey""".replace("p_size + p_partkey % 2", "CAST(p_size + p_partkey % 2 AS INTEGER)"),
 )
 def jn_selfkey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = part(spark, sf_dir, "part").select("p_partkey", "p_size")
-    before = items.filter(F.col("p_partkey") % 5 != 0)
-    after = items.filter(F.col("p_partkey") % 7 != 0).withColumn(
-        "p_size", (F.col("p_size") + F.col("p_partkey") % 2).cast("int")
+    items = part(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", "p_type")
+    before = items.filter(F.col("p_brand") != "Brand#3").select("p_partkey", "p_size")
+    after = items.filter(F.col("p_type") != "ECONOMY").select(
+        "p_partkey", (F.col("p_size") + F.col("p_partkey") % 2).cast("int").alias("p_size")
     )
     return pair_images(before, after, "p_partkey").select(
         "p_partkey", F.col("before.p_size").alias("size_before"), F.col("after.p_size").alias("size_after")

@@ -13,6 +13,7 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.operators.joins import join_dim
 
@@ -34,8 +35,15 @@ AS_OF = datetime.date(2001, 12, 31)
 ORIGIN, DESTINATION = "CITY_0", "CITY_1"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is looked up in a file footer once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _values(rows: list[tuple], names: str) -> str:

@@ -55,7 +55,7 @@ _PRICED = """
         SELECT ticket_id, flight_id, cabin_type_id, route_id,
                CASE WHEN ticket_id % 50 <> 0 THEN final_price END AS final_price
         FROM tickets JOIN flights USING (flight_id)),
-    listed AS (SELECT * FROM routes_cabin_types WHERE route_id % 10 <> 0),
+    listed AS (SELECT * FROM routes_cabin_types WHERE cabin_type_id <> 'R'),
     judged AS (
         SELECT p.*, l.price, CASE WHEN l.price IS NULL THEN 'unpriced' WHEN final_price IS NULL THEN 'empty'
                    WHEN final_price BETWEEN l.price * 0.80 AND l.price * 1.20 THEN 'accepted'
@@ -73,7 +73,8 @@ def _proposed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _price_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return OrderTables(spark, sf_dir)("routes_cabin_types").filter(F.col("route_id") % 10 != 0)
+    """No list price for the third class."""
+    return OrderTables(spark, sf_dir)("routes_cabin_types").filter(F.col("cabin_type_id") != "R")
 
 
 PRICE_KEYS = ["route_id", "cabin_type_id"]
@@ -173,7 +174,7 @@ def q_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ORPHANS = """
     , child AS (SELECT flight_id, ticket_id, CASE WHEN ticket_id % 20 <> 0 THEN employee_id END AS employee_id FROM tickets),
-    parent AS (SELECT employee_id FROM employees WHERE employee_id % 7 <> 0)"""
+    parent AS (SELECT employee_id FROM employees WHERE city_state_id < 20)"""
 
 
 def _child_and_parent(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +182,8 @@ def _child_and_parent(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     child = t("tickets", "flight_id", "ticket_id", "employee_id").withColumn(
         "employee_id", F.when(F.col("ticket_id") % 20 != 0, F.col("employee_id"))
     )
-    return child, t("employees", "employee_id").filter(F.col("employee_id") % 7 != 0)
+    staff = t("employees", "employee_id", "city_state_id").filter(F.col("city_state_id") < 20)
+    return child, staff.select("employee_id")
 
 
 @query(
@@ -276,12 +278,12 @@ _IMAGES = """
     WITH items AS (
         SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN p_name END AS p_name, p_brand, p_size,
                CAST(p_retailprice AS DECIMAL(10,2)) AS price FROM part),
-    before AS (SELECT * FROM items WHERE p_partkey % 10 <> 1),
+    before AS (SELECT * FROM items WHERE p_brand <> 'Brand#1'),
     after AS (
         SELECT p_partkey, CASE WHEN p_partkey % 26 = 0 THEN 'named' WHEN p_partkey % 8 = 3 THEN NULL ELSE p_name END AS p_name,
                p_brand, CAST(CASE WHEN p_partkey % 4 = 0 THEN p_size + 1 ELSE p_size END AS INTEGER) AS p_size,
                CAST(CASE WHEN p_partkey % 6 = 0 THEN price + 1 ELSE price END AS DECIMAL(10,2)) AS price
-        FROM items WHERE p_partkey % 10 <> 2)"""
+        FROM items WHERE p_brand <> 'Brand#2')"""
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +307,7 @@ def _edited(items: DataFrame) -> DataFrame:
 
 def _images(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     items = _items(spark, sf_dir)
-    return items.filter(F.col("p_partkey") % 10 != 1), _edited(items).filter(F.col("p_partkey") % 10 != 2)
+    return items.filter(F.col("p_brand") != "Brand#1"), _edited(items).filter(F.col("p_brand") != "Brand#2")
 
 
 def _column_rows(image: str) -> str:
@@ -398,7 +400,7 @@ def ss_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_size",
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
     )
-    changes = _edited(items).withColumn("gone", key % 10 == 2)
+    changes = _edited(items).withColumn("gone", F.col("p_brand") == "Brand#2")
     folder = fresh_path(spark, "audit")
     audit_stream(
         changes,
