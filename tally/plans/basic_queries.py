@@ -215,7 +215,13 @@ _filtered(
     "final_price >= 90000 AND purchase_location_id <> 'F'",
     "final_price >= 90000 AND purchase_location_id != 'F'",
 )
-_filtered("flt_in", "routes", "route_id, weekday_id", "weekday_id IN (6, 7)", "weekday_id IN (6, 7)")
+_filtered(
+    "flt_in",
+    "tickets",
+    "flight_id, ticket_id, payment_type_id",
+    "payment_type_id IN ('1-URGENT', '5-LOW')",
+    "payment_type_id IN ('1-URGENT', '5-LOW')",
+)
 _filtered("flt_null", "customers", "customer_id, gender", "gender IS NULL", "gender IS NULL")
 _filtered(
     "flt_and",

@@ -385,7 +385,7 @@ def ch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.readStream.schema(part(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}*.parquet")
+    return spark.readStream.schema(part(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 @query("ss_audit", _audit_sql("0"))
