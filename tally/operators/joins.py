@@ -30,14 +30,15 @@ def _names(on: str | Sequence[str]) -> list[str]:
 
 def fits_broadcast(df: DataFrame, limit: int) -> bool:
     """Measure ``df``: the row count first (file footers only, for a plain table), then its text."""
-    variable = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    variable = [f.name for f in df.schema if not isinstance(f.dataType, plain)]
     fixed = _FIXED_WIDTH * (len(df.columns) + 1)
     rows = df.count()
     if rows * fixed > limit:
         return False
     if not variable or rows == 0:
         return True
-    sizes = [F.sum(F.octet_length(F.col(f"`{name}`"))) for name in variable]
+    sizes = [F.sum(F.octet_length(F.col(f"`{name}`").cast("string"))) for name in variable]
     text = sum(size or 0 for size in df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sizes)]).first())
     return rows * fixed + text <= limit
 

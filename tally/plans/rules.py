@@ -94,7 +94,8 @@ def rule_report(tables: Tables, table: str) -> DataFrame:
     reports = [check_rules(rows, rules.checks)] if rules.checks else []
     for column in rules.unique:
         repeated = check_unique(rows.filter(F.col(column).isNotNull()), [column])
-        reports.append(repeated.agg(F.count("*").alias("violations")).select(F.lit(f"{column} is unique").alias("rule"), "violations"))
+        counted = repeated.agg(F.count("*").alias("violations"))
+        reports.append(counted.select(F.lit(f"{column} is unique").alias("rule"), "violations"))
     whole = reports[0]
     for report in reports[1:]:
         whole = whole.unionByName(report)

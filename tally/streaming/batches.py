@@ -56,8 +56,9 @@ def audit_stream(
     """Audit a stream of new row images against the present table.
 
     ``current`` is the table, or, when it moves on between batches, a function from batch id to
-    its state before that batch (the same answer on a retry).  ``deleted`` marks change rows that remove their key; ``order`` ranks
-    several changes of one key within a batch, of which the last counts.
+    its state before that batch (the same answer on a retry).  ``deleted`` marks change rows
+    that remove their key; ``order`` ranks several changes of one key within a batch, of which
+    the last counts.
     """
 
     def audit(batch: DataFrame, batch_id: int) -> DataFrame:
