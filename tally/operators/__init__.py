@@ -7,6 +7,7 @@ from tally.operators.aggregates import (
 from tally.operators.changes import (
     apply_updates,
     audit_changes,
+    audit_pairs,
     classify,
     latest_per_key,
     pair_images,
@@ -41,6 +42,7 @@ from tally.operators.ranking import extremes, first_n, rank_all, ranked, top_n_p
 __all__ = [
     "apply_updates",
     "audit_changes",
+    "audit_pairs",
     "check_columns",
     "check_date_range",
     "check_length_bounds",

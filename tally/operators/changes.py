@@ -49,17 +49,34 @@ def audit_changes(
     station: str,
     at: datetime.datetime,
     batch: str = "0",
+) -> DataFrame:
+    """Audit rows for the difference of two images; see :func:`audit_pairs`."""
+    wanted = list(dict.fromkeys([*_key_list(key), *cols]))
+    paired = pair_images(before.select(*wanted), after.select(*wanted), key)
+    return audit_pairs(paired, key, cols, table, user, station, at, batch)
+
+
+def audit_pairs(
+    paired: DataFrame,
+    key: str | Sequence[str],
+    cols: Sequence[str],
+    table: str,
+    user: str,
+    station: str,
+    at: datetime.datetime,
+    batch: str | Column = "0",
 ) -> DataFrame:
     """One audit row per column of an inserted or deleted row and per changed column of an update.
 
-    Unchanged rows are dropped right after the join, unchanged columns before they become
-    rows.  ``aud_id`` is made of batch, table, key and column, so a rerun repeats it.
+    ``paired`` holds the key and the structs ``before`` and ``after``.  A change feed that
+    carries both images needs no join, so this also runs as a plain streaming projection, with
+    the feed's sequence as ``batch``.  Unchanged rows are dropped first, unchanged columns
+    before anything is written.  ``aud_id`` is made of batch, table, key and column, so a rerun
+    repeats it.
     """
     keys = _key_list(key)
-    wanted = list(dict.fromkeys([*keys, *cols]))
-    paired = classify(pair_images(before.select(*wanted), after.select(*wanted), keys))
-    changed = paired.filter(F.col("operation").isNotNull())
-
+    changed = classify(paired).filter(F.col("operation").isNotNull())
+    batch = batch.cast("string") if isinstance(batch, Column) else F.lit(batch)
     per_column = F.array(
         *[
             F.struct(
@@ -72,10 +89,12 @@ def audit_changes(
     )
     identifier = F.concat_ws("/", *[F.col(name).cast("string") for name in keys])
     logged = (
-        changed.select(identifier.alias("aud_identifier_id"), "operation", F.inline(per_column))
+        changed.select(
+            batch.alias("_batch"), identifier.alias("aud_identifier_id"), "operation", F.inline(per_column)
+        )
         .filter((F.col("operation") != UPDATE) | ~F.col("aud_before").eqNullSafe(F.col("aud_after")))
         .select(
-            F.concat_ws(":", F.lit(batch), F.lit(table), "aud_identifier_id", "aud_column").alias("aud_id"),
+            F.concat_ws(":", "_batch", F.lit(table), "aud_identifier_id", "aud_column").alias("aud_id"),
             F.lit(station).alias("aud_station"),
             F.col("operation").alias("aud_operation"),
             F.lit(at.date()).alias("aud_date"),

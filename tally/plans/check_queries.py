@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.operators.changes import apply_updates, audit_changes, classify, pair_images
+from tally.operators.changes import apply_updates, audit_changes, audit_pairs, classify, pair_images
 from tally.operators.joins import join_dim
 from tally.operators.quality import (
     check_date_range,
@@ -286,9 +286,9 @@ _IMAGES = """
         FROM items WHERE p_brand <> 'Brand#2')"""
 
 
-def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _items(stored: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
-    return part(spark, sf_dir, "part").select(
+    return stored.select(
         "p_partkey",
         F.when(key % 13 != 0, F.col("p_name")).alias("p_name"),
         "p_brand",
@@ -306,7 +306,7 @@ def _edited(items: DataFrame) -> DataFrame:
 
 
 def _images(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    items = _items(spark, sf_dir)
+    items = _items(part(spark, sf_dir, "part"))
     return items.filter(F.col("p_brand") != "Brand#1"), _edited(items).filter(F.col("p_brand") != "Brand#2")
 
 
@@ -391,15 +391,8 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("ss_audit", _audit_sql("0"))
 def ss_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The edited items as a stream of changes; a removed item arrives marked as such."""
-    key = F.col("p_partkey")
     before, _ = _images(spark, sf_dir)
-    items = _stream(spark, sf_dir, "part").select(
-        "p_partkey",
-        F.when(key % 13 != 0, F.col("p_name")).alias("p_name"),
-        "p_brand",
-        "p_size",
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-    )
+    items = _items(_stream(spark, sf_dir, "part"))
     changes = _edited(items).withColumn("gone", F.col("p_brand") == "Brand#2")
     folder = fresh_path(spark, "audit")
     audit_stream(
@@ -418,6 +411,29 @@ def ss_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/rows").drop("batch_id")
 
 
+@query("ss_audit_pairs", _audit_sql("0"))
+def ss_audit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes as a feed that carries both images: a projection, without any join."""
+    items = _items(_stream(spark, sf_dir, "part"))
+    image = F.struct(*ITEM_COLUMNS)
+    paired = _edited(items.withColumn("was", image)).select(
+        "p_partkey",
+        F.when(F.col("p_brand") != "Brand#1", F.col("was")).alias("before"),
+        F.when(F.col("p_brand") != "Brand#2", image).alias("after"),
+    )
+    log = audit_pairs(paired, "p_partkey", ITEM_COLUMNS, "items", "clerk", "desk-1", AT)
+    folder = fresh_path(spark, "audit")
+    (
+        log.writeStream.format("parquet")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(log.schema).parquet(f"{folder}/rows")
+
+
 _TICKET_STREAM_SQL = (
     _PRICED
     + """

@@ -1,5 +1,7 @@
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tally.operators.aggregates import counts_per_outer
@@ -96,3 +98,18 @@ def test_semi_theta_needs_key_and_range(spark):
     left = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (None, 10)], "k int, x int")
     right = spark.createDataFrame([(1, 5, 15), (1, 8, 12), (3, 0, 99)], "k int, lo int, hi int")
     assert rows(semi_theta(left, right, "k", F.col("x").between(F.col("lo"), F.col("hi")))) == [(1, 10)]
+
+
+key_strategy = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(st.tuples(key_strategy, st.integers(0, 3)), max_size=30),
+    right=st.lists(key_strategy, max_size=8),
+    how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]),
+)
+def test_spread_join_on_any_rows(spark, left, right, how):
+    a = spark.createDataFrame(left, "k int, x int")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "k long, y int")
+    assert rows(spread_join(a, b, "k", how, share=0.05)) == rows(a.join(b, "k", how))

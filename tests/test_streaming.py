@@ -6,7 +6,7 @@ from booking import d
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tally.operators.changes import apply_updates, audit_changes
+from tally.operators.changes import apply_updates, audit_changes, audit_pairs
 from tally.operators.quality import clamp_to_reference
 from tally.streaming import audit_stream, validate_stream, violations_stream
 
@@ -70,6 +70,28 @@ def test_batches_see_the_state_before_them_and_reruns_add_nothing(spark, tmp_pat
     assert again.count() == 2
 
 
+def test_feed_of_both_images(spark, tmp_path):
+    """Several changes of one key stay apart by their sequence; no join, no state."""
+    image = "struct<plane_id:int,brand:string>"
+    feed = spark.createDataFrame(
+        [(1, 1, None, (1, "A")), (2, 1, (1, "A"), (1, "B")), (3, 1, (1, "B"), (1, "B")), (4, 1, (1, "B"), None)],
+        f"seq int, plane_id int, before {image}, after {image}",
+    )
+    feed.write.parquet(str(tmp_path / "pairs"))
+    stream = spark.readStream.schema(feed.schema).parquet(str(tmp_path / "pairs"))
+    log = audit_pairs(stream, "plane_id", ["plane_id", "brand"], *STAMP, AT, F.col("seq"))
+    writer = log.writeStream.format("parquet").option("path", str(tmp_path / "log"))
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "log")).select("aud_id", "aud_operation", "aud_before", "aud_after")
+    assert rows(got) == [
+        ("1:planes:1:brand", "INSERT", None, "A"),
+        ("1:planes:1:plane_id", "INSERT", None, "1"),
+        ("2:planes:1:brand", "UPDATE", "A", "B"),
+        ("4:planes:1:brand", "DELETE", "B", None),
+        ("4:planes:1:plane_id", "DELETE", "1", None),
+    ]
+
+
 def test_validate_stream(spark, tmp_path):
     asked = spark.createDataFrame([(1, 1, Decimal("79.99")), (2, 1, Decimal("110.00"))], "id int, k int, price decimal(10,2)")
     asked.write.parquet(str(tmp_path / "asked"))
