@@ -10,7 +10,7 @@ Three ways, in order of preference:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ SKETCH_GROUPS = 256
 
 _FIXED_WIDTH = 16
 
+Hot = list[tuple[int, int]]  # (key hash, pieces)
+
 
 def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -43,7 +45,7 @@ def fits_broadcast(df: DataFrame, limit: int) -> bool:
     return rows * fixed + text <= limit
 
 
-def hot_keys(df: DataFrame, on: str | Sequence[str], share: float | None = None) -> list[tuple[int, int]]:
+def hot_keys(df: DataFrame, on: str | Sequence[str], share: float | None = None) -> Hot:
     """(hash, pieces) of each key holding more than ``share`` of the rows.
 
     One pass with frequent-items sketches, merged in groups and then once more, so nothing is
@@ -80,21 +82,24 @@ def spread_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     share: float | None = None,
-    hot_from: DataFrame | None = None,
+    hot_from: DataFrame | Callable[[], Hot] | None = None,
 ) -> DataFrame:
     """Shuffle join in which hot keys of ``left`` are split over several tasks.
 
     ``how`` keeps ``left`` whole (inner, left, left_semi, left_anti).  Rows of a hot key get
     a piece number from a hash of ``spread_by``, which is a function of the row and so the
     same on every retry; matching rows of ``right`` are repeated once per piece.  ``hot_from``
-    is a cheaper frame to find the hot keys in when ``left`` is itself costly.
+    is a cheaper frame to find the hot keys in when ``left`` is itself costly, or a function
+    that knows them (from :func:`hot_keys` on keys of the same types).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split hot keys in a {how} join")
     keys = _names(on)
-    types = {field.name: field.dataType for field in left.schema}
-    source = left if hot_from is None else hot_from
-    hot = hot_keys(source.select(*[F.col(key).cast(types[key]) for key in keys]), keys, share)
+    if callable(hot_from):
+        hot = hot_from()
+    else:
+        source = left if hot_from is None else hot_from
+        hot = hot_keys(source.select(*[F.col(key).cast(left.schema[key].dataType) for key in keys]), keys, share)
     if not hot:
         return left.join(right, keys, how)
 
@@ -107,7 +112,7 @@ def _cut(
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
-    hot: list[tuple[int, int]],
+    hot: Hot,
     spread_by: Sequence[str] | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_piece``: one per row of ``left``, all of its key's for ``right``."""
@@ -134,7 +139,7 @@ def join_dim(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     limit: int | None = None,
-    hot_from: DataFrame | None = None,
+    hot_from: DataFrame | Callable[[], Hot] | None = None,
 ) -> DataFrame:
     """Row-preserving join to a keyed table: broadcast if it measures small, else split hot keys."""
     if fits_broadcast(dim, BROADCAST_BYTES if limit is None else limit):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.operators.joins import join_dim
+from tally.operators.joins import Hot, hot_keys, join_dim
 
 # Fixed values of the binding.
 PLANES = [(0, 8), (1, 12), (2, 13), (3, 16)]
@@ -36,6 +36,7 @@ ORIGIN, DESTINATION = "CITY_0", "CITY_1"
 
 
 _schemas: dict[str, T.StructType] = {}
+_hot_orders: dict[str, Hot] = {}
 
 
 def part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,7 +93,15 @@ class OrderTables:
         )
         own = [c for c in columns if c not in from_order] if columns else lines.columns
         kept = list(dict.fromkeys(["flight_id", "ticket_id", *own]))
-        return join_dim(lines.select(*kept), buyers.select("flight_id", *wanted), "flight_id", "left")
+        return join_dim(
+            lines.select(*kept), buyers.select("flight_id", *wanted), "flight_id", "left", hot_from=self._hot_flights
+        )
+
+    def _hot_flights(self) -> Hot:
+        """Looked for once per folder: how work is spread needs no fresher answer."""
+        if self.sf_dir not in _hot_orders:
+            _hot_orders[self.sf_dir] = hot_keys(self._read("lineitem").select("l_orderkey"), "l_orderkey")
+        return _hot_orders[self.sf_dir]
 
     def _flights(self, columns: tuple[str, ...]) -> DataFrame:
         key = F.col("o_orderkey")
