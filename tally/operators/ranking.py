@@ -11,7 +11,6 @@ from tally.functions import rank_label
 from tally.workspace import store
 
 ONE_TASK_ROWS = 100_000
-GROUP_LIMIT = 1000  # beyond this Spark stops cutting groups before the shuffle
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -94,13 +93,14 @@ def top_n_per_group(
 ) -> DataFrame:
     """Best ``n`` rows of each group by ``order``, which must end in a unique key.
 
-    Up to ``GROUP_LIMIT`` Spark itself keeps only n rows per group and task before shuffling.
-    For larger n every group is first cut over all shuffle partitions, so that a huge group is
+    Up to a session limit (1000) Spark itself keeps only n rows per group and task before
+    shuffling.  For larger n every group is first cut over all shuffle partitions, so that a huge group is
     never sorted by one task.
     """
     part = [part] if isinstance(part, str) else list(part)
-    if n > GROUP_LIMIT:
-        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        pieces = int(conf.get("spark.sql.shuffle.partitions"))
         piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
         within = Window.partitionBy(*part, "_piece").orderBy(*order)
         df = (

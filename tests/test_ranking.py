@@ -53,9 +53,14 @@ def test_ranked_labels(spark):
 
 
 @pytest.mark.parametrize("n", [1, 3, 700])
-def test_top_n_per_group_equals_brute_force(scores, monkeypatch, n):
-    monkeypatch.setattr(ranking, "GROUP_LIMIT", 100)
-    got = rows(top_n_per_group(scores, "team", [F.desc("score"), F.asc("who")], n))
+def test_top_n_per_group_equals_brute_force(spark, scores, n):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100")
+    try:
+        df = top_n_per_group(scores, "team", [F.desc("score"), F.asc("who")], n)
+        assert ("_piece" in df._jdf.queryExecution().analyzed().toString()) == (n > 100)
+        got = rows(df)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     teams = {}
     for r in scores.collect():
         teams.setdefault(r.team, []).append(r)
