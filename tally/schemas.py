@@ -107,6 +107,19 @@ TABLES: dict[str, T.StructType] = {
     table: T.StructType([_field(m) for m in _COLUMN.finditer(text)]) for table, text in _COLUMNS.items()
 }
 
+
+def wide(schema: T.StructType) -> T.StructType:
+    """The schema with bigint ids, for tables that outgrow int; files with int ids still read."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.LongType(), f.nullable)
+            if isinstance(f.dataType, T.IntegerType) and "_id" in f.name
+            else f
+            for f in schema
+        ]
+    )
+
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     table: [schema[0].name] for table, schema in TABLES.items() if table != "flights_employees"
 } | {"flights_employees": ["flight_id", "employee_id"]}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tally.schemas import CLUSTER_BY, PRIMARY_KEYS, TABLES
+from tally.schemas import CLUSTER_BY, PRIMARY_KEYS, TABLES, wide
 
 
 def load(spark: SparkSession, directory: str, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -32,14 +32,19 @@ def save(df: DataFrame, directory: str, name: str, mode: str = "errorifexists")
 
 
 class ParquetTables:
-    """``tables("tickets", "flight_id", "final_price")``: only the named columns are read."""
+    """``tables("tickets", "flight_id", "final_price")``: only the named columns are read.
 
-    def __init__(self, spark: SparkSession, directory: str):
+    ``wide_ids`` reads ids as bigint, which more than two billion tickets need.
+    """
+
+    def __init__(self, spark: SparkSession, directory: str, wide_ids: bool = False):
         self.spark = spark
         self.directory = directory
+        self.wide_ids = wide_ids
 
     def __call__(self, name: str, *columns: str) -> DataFrame:
-        table = load(self.spark, self.directory, name)
+        schema = wide(TABLES[name]) if self.wide_ids else TABLES[name]
+        table = load(self.spark, self.directory, name, schema)
         return table.select(*columns) if columns else table
 
     def register(self, *names: str) -> None:

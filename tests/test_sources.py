@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally import workspace
-from tally.schemas import TABLES
+from tally.schemas import TABLES, wide
 from tally.sources import ParquetTables, append, import_dump, load, read_insert_dump, save, write_insert_dump
 
 TEXT = """--INSERT TABLE [employees]
@@ -117,3 +117,17 @@ def test_saved_flights_are_laid_out_by_date(spark, tmp_path):
     ends = sorted((r.lo, r.hi) for r in spans)
     assert len(ends) > 4 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
     assert rows(stored) == rows(days)
+
+
+def test_wide_ids_read_both_widths(spark, tmp_path):
+    big = 5_000_000_000
+    narrow = spark.createDataFrame([(1, "Ann")], "cabin_type_id int, name string")
+    narrow.write.parquet(str(tmp_path / "cabin_types.parquet"))
+    spark.createDataFrame([(big, "Bo")], "payment_type_id long, name string").write.parquet(
+        str(tmp_path / "payment_types.parquet")
+    )
+    tables = ParquetTables(spark, str(tmp_path), wide_ids=True)
+    assert rows(tables("cabin_types")) == [(1, "Ann")]
+    assert rows(tables("payment_types")) == [(big, "Bo")]
+    assert dict(tables("cabin_types").dtypes) == {"cabin_type_id": "bigint", "name": "string"}
+    assert wide(TABLES["planes"])["capacity"].dataType == T.IntegerType()
