@@ -359,7 +359,8 @@ def jn_role(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jn_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = OrderTables(spark, sf_dir)
     tickets = t("tickets", "ticket_id", "flight_id", "cabin_type_id", "final_price")
-    routed = join_dim(tickets, t("flights", "flight_id", "route_id"), "flight_id", spread_by=["ticket_id"])
+    flights = t("flights", "flight_id", "route_id")
+    routed = join_dim(tickets, flights, "flight_id", spread_by=["ticket_id"], hot_from=t.hot_flights)
     priced = join_dim(routed, t("routes_cabin_types"), ["route_id", "cabin_type_id"], spread_by=["ticket_id", "flight_id"])
     return priced.select("ticket_id", "flight_id", "route_id", "cabin_type_id", "final_price", "price")
 

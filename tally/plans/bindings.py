@@ -94,10 +94,10 @@ class OrderTables:
         own = [c for c in columns if c not in from_order] if columns else lines.columns
         kept = list(dict.fromkeys(["flight_id", "ticket_id", *own]))
         return join_dim(
-            lines.select(*kept), buyers.select("flight_id", *wanted), "flight_id", "left", hot_from=self._hot_flights
+            lines.select(*kept), buyers.select("flight_id", *wanted), "flight_id", "left", hot_from=self.hot_flights
         )
 
-    def _hot_flights(self) -> Hot:
+    def hot_flights(self) -> Hot:
         """Looked for once per folder: how work is spread needs no fresher answer."""
         if self.sf_dir not in _hot_orders:
             _hot_orders[self.sf_dir] = hot_keys(self._read("lineitem").select("l_orderkey"), "l_orderkey")

@@ -69,7 +69,8 @@ def _proposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tickets = t("tickets", "ticket_id", "flight_id", "cabin_type_id", "final_price").withColumn(
         "final_price", F.when(F.col("ticket_id") % 50 != 0, F.col("final_price"))
     )
-    return join_dim(tickets, t("flights", "flight_id", "route_id"), "flight_id", spread_by=["ticket_id"])
+    flights = t("flights", "flight_id", "route_id")
+    return join_dim(tickets, flights, "flight_id", spread_by=["ticket_id"], hot_from=t.hot_flights)
 
 
 def _price_list(spark: SparkSession, sf_dir: str) -> DataFrame:
