@@ -1,7 +1,8 @@
 """Rows kept as ``INSERT ... VALUES`` lines, read and written as a distributed text job.
 
 One statement per line.  Anything else in the file (separators, comments, other tables)
-is passed over, so several tables may share a file.
+is passed over, so several tables may share a file; a line that starts as an INSERT but
+cannot be read as one is an error, never a lost row.
 """
 
 from __future__ import annotations
@@ -38,11 +39,13 @@ def _typed(text: Column, kind: T.DataType) -> Column:
 def _statements(spark: SparkSession, path: str) -> DataFrame:
     """(table, column -> text) of every INSERT line."""
     line = F.col("value")
+    table = F.lower(F.regexp_extract(line, _HEAD, 1))
+    unreadable = F.raise_error(F.concat(F.lit("cannot read INSERT line: "), F.substring(line, 1, 200)))
     return (
         spark.read.text(path)
-        .filter(line.contains("(") & (F.regexp_extract(line, _HEAD, 1) != ""))
+        .filter(line.rlike(r"(?i)^\s*INSERT\s"))
         .select(
-            F.lower(F.regexp_extract(line, _HEAD, 1)).alias("table"),
+            F.when(table != "", table).otherwise(unreadable).alias("table"),
             F.transform(
                 F.split(F.regexp_extract(line, _HEAD, 2), ","),
                 lambda name: F.lower(F.regexp_replace(name, r"[\[\]\s]", "")),

@@ -49,6 +49,16 @@ def test_decimals_dates_times_and_trailing_spaces(spark, dump):
     assert (route.route_id, route.start_time) == (7, "06:00:00")
 
 
+def test_a_broken_line_is_an_error(spark, tmp_path):
+    path = tmp_path / "broken.sql"
+    path.write_text("INSERT [dbo].[states] ([state_id], [name]) VALUES (1, N'cut off\n")
+    with pytest.raises(Exception, match="cannot read INSERT line"):
+        read_insert_dump(spark, str(path), "states", TABLES["states"]).collect()
+    path.write_text("INSERT [dbo].[states] ([state_id], [name]) VALUES (1)\n")
+    with pytest.raises(Exception, match="same length"):
+        read_insert_dump(spark, str(path), "states", TABLES["states"]).collect()
+
+
 def test_long_text_with_many_quotes(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s", T.StringType())])
     text = "it's " * 4000 + "x" * 50_000
