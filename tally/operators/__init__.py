@@ -17,6 +17,7 @@ from tally.operators.joins import (
     fits_broadcast,
     hot_keys,
     join_dim,
+    join_one,
     lookup,
     semi_theta,
     spread_join,
@@ -61,6 +62,7 @@ __all__ = [
     "fits_broadcast",
     "hot_keys",
     "join_dim",
+    "join_one",
     "judge_against_reference",
     "latest_per_key",
     "lookup",

@@ -147,12 +147,38 @@ def join_dim(
     return spread_join(fact, dim, on, how, spread_by, hot_from=hot_from)
 
 
+def join_one(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str | Sequence[str],
+    spread_by: Sequence[str] | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Left join to at most one row of ``dim`` per key; a second row for a key is an error.
+
+    The check is a grouping of ``dim`` by the join key, whose partitioning the join reuses.
+    """
+    keys = _names(on)
+    known = dim.dropna(subset=keys)
+    second = F.raise_error(F.concat(F.lit("more than one row for "), F.to_json(F.struct(*keys))))
+    single = known.groupBy(*keys).agg(
+        *[
+            F.when(F.count("*") == 1, F.any_value(F.col(name))).otherwise(second).alias(name)
+            for name in dim.columns
+            if name not in keys
+        ]
+    )
+    if fits_broadcast(known, BROADCAST_BYTES if limit is None else limit):
+        return fact.join(F.broadcast(single), keys, "left")
+    return spread_join(fact, single, keys, "left", spread_by)
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], dim_key: str | None = None) -> DataFrame:
-    """Fetch ``cols`` (dim column -> new name) by a unique key; unmatched rows get NULL."""
+    """Fetch ``cols`` (dim column -> new name) by key; NULL without a match, an error with two."""
     picked = dim.select(
         F.col(dim_key or key).alias(key), *[F.col(source).alias(name) for source, name in cols.items()]
     )
-    return join_dim(df, picked, key, "left")
+    return join_one(df, picked, key)
 
 
 def semi_theta(

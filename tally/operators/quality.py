@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions import trimmed_length
-from tally.operators.joins import join_dim
+from tally.operators.joins import join_dim, join_one
 
 ACCEPTED, REJECTED, CLAMPED, UNPRICED, EMPTY = "accepted", "rejected", "clamped", "unpriced", "empty"
 
@@ -115,7 +115,7 @@ def judge_against_reference(
 ) -> DataFrame:
     """Every change with its reference value and a ``verdict``.
 
-    ``ref`` must hold one row per key (see :func:`check_unique`, :func:`valid_on`).
+    A second ``ref`` row for a key is an error (see :func:`check_unique`, :func:`valid_on`).
     """
     listed = ref.select(
         *keys,
@@ -129,7 +129,7 @@ def judge_against_reference(
         .when(F.col(value).between(F.col("_low"), F.col("_high")), ACCEPTED)
         .otherwise(CLAMPED)
     )
-    joined = join_dim(changes, listed, keys, "left", spread_by)
+    joined = join_one(changes, listed, keys, spread_by)
     return joined.withColumn("verdict", verdict).drop("_low", "_high")
 
 

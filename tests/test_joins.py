@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tally.operators.aggregates import counts_per_outer
-from tally.operators.joins import fits_broadcast, hot_keys, join_dim, lookup, semi_theta, spread_join
+from tally.operators.joins import fits_broadcast, hot_keys, join_dim, join_one, lookup, semi_theta, spread_join
 
 
 @pytest.fixture
@@ -94,6 +94,16 @@ def test_counts_per_outer_with_repeated_keys(spark, skewed):
     assert got.filter("n = 0").count() > 0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_join_one(spark, skewed, dim, limit):
+    assert rows(join_one(skewed, dim, "k", limit=limit)) == rows(skewed.join(dim, "k", "left"))
+    with_gaps = dim.unionByName(spark.createDataFrame([(None, 1), (None, 2)], "k int, v long"))
+    assert rows(join_one(skewed, with_gaps, "k", limit=limit)) == rows(skewed.join(dim, "k", "left"))
+    doubled = dim.unionByName(dim.limit(1))
+    with pytest.raises(Exception, match="more than one row for"):
+        join_one(skewed, doubled, "k", limit=limit).collect()
+
+
 def test_semi_theta_needs_key_and_range(spark):
     left = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (None, 10)], "k int, x int")
     right = spark.createDataFrame([(1, 5, 15), (1, 8, 12), (3, 0, 99)], "k int, lo int, hi int")

@@ -82,6 +82,11 @@ def test_two_prices_of_a_key_show_up_and_dates_settle_them(spark):
         "route_id int, cabin_type_id int, price decimal(10,2), start_date date, end_date date",
     )
     assert rows(check_unique(listed, KEYS)) == [(1, 1, 2)]
+    changes = spark.createDataFrame([(7, 1, 1, money("95.00"))], "ticket_id int, route_id int, cabin_type_id int, final_price decimal(10,2)")
+    with pytest.raises(Exception, match="more than one row for"):
+        clamp_to_reference(changes, listed, KEYS, "final_price", "price").collect()
+    dated = valid_on(listed, d("2016-06-01"))
+    assert clamp_to_reference(changes, dated, KEYS, "final_price", "price").first()["validated"] == money("95.00")
     assert [r.price for r in valid_on(listed, d("2016-06-01")).collect()] == [money("100.00")]
     assert [r.price for r in valid_on(listed, d("2015-12-31")).collect()] == [money("90.00")]
     assert valid_on(listed, d("2011-01-01")).count() == 0
