@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,7 +50,3 @@ def rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 def record_batch(schema: pa.Schema, data: list[tuple]) -> pa.RecordBatch:
     columns = zip(*data) if data else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"

@@ -1,0 +1,93 @@
+import pytest
+
+from tally.llm import texts
+from tally.llm.html_main import extract_main, host_of, main_text, parse, style_tree, template_branches
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
+<header><a href="/">Site</a></header><nav><ul><li><a href="/a">A</a></li></ul></nav><!-- ad --><div class="ad">Buy now</div>
+<div class="cookie-notice">We use cookies</div><aside>Side</aside>
+<article><header><h1>The &amp; title</h1></header><p><b>First &lt;para&gt;<br>with  break<br><p>Second
+ para&nbsp;here <a href="x">link</a> <span class="ad">AD</span>end.</p><ul><li>one<li>two</ul>
+<table><tr><td>c1<td>c2</table><form><input value=1>Send <button>go</button></form>
+<div class="share-bar">Share</div><section id="comments"><article class="comment"><p>Nice!</p></article></section></article>
+<div class="related-posts"><a href="/x">More</a></div><footer>&copy; 2020</footer></body></html>"""
+
+
+def test_article_of_a_page():
+    assert main_text(PAGE).split("\n") == ["The & title", "First <para> with break", "Second para here link end.", "one", "two", "c1", "c2"]
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (None, ""),
+        ("", ""),
+        ("just text", "just text"),
+        ("a < b &lt; c &am", "a < b < c &am"),
+        ("<article><p>cut off he", "cut off he"),
+        ("<article><p>x</p><p", "x"),
+        ('<article><p>x</p><a href="unfinished', "x"),
+        ("<article><p>a</p><script>never closed <p>b", "a"),
+        ("<article><p>a</p><!-- never closed <p>b", "a"),
+        ("<ARTICLE><P>A</P><DIV>B</DIV></ARTICLE><p>out</p>", "A\nB"),
+        ("<main><p>m</p></main><p>out</p>", "m"),
+        ("<div><p>long enough words here</p></div><div><a href=1>l1</a> <a href=2>l2</a></div>", "long enough words here"),
+        ("<article><p>&#65;&#x42;&copy;&nosuch; &notit;</p></article>", "AB©&nosuch; ¬it;"),
+        ("<article>loose <i>in<b>line</i></b> words<div>block</div>tail</article>", "loose inline words\nblock\ntail"),
+        ('<article><p title="a>b">quoted</p><p hidden>no</p><p style="display: none">no</p></article>', "quoted"),
+        ("<nav>menu<article><p>x</p></article></nav>", ""),
+        ("<article><p>a\t\n  b&#8195;c</p></article>", "a b c"),
+        ("</p></div>stray<p>end</b>", "stray\nend"),
+    ],
+)
+def test_small_pages(html, text):
+    assert main_text(html) == text
+
+
+def test_very_long_and_deep_pages():
+    assert main_text("<article>" + "<p>word</p>" * 50_000 + "</article>").count("word") == 50_000
+    assert main_text("<div>" * 3000 + "deep") == "deep"
+    assert len(parse("<p>" * 2000)[0]) == 0
+
+
+def site(spark):
+    rows = []
+    for i in range(24):
+        rows.append(
+            (i, f"https://Shop.example:443/{i}",
+             f"<body><div class='top'><p>All our offers in one place</p></div><div class='body'><p>Own words of page {i} about {i * 7}</p>"
+             f"<p>More of {i}</p></div><div class='base'><p>Imprint and data</p></div></body>")
+        )
+        rows.append((100 + i, f"http://a.example/{i}", f"<article><h1>Title {i}</h1><p>Text {i}</p><p class='tagline'>Read all our news</p></article>"))
+        rows.append((200 + i, "http://copies.example/x", "<article><p class='lead'>All pages are copies</p></article>"))
+    rows += [(900, None, "<p>no url</p>"), (901, "odd", None), (901, "odd", None), (None, "http://b.example/", "<p>null id</p>")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+@pytest.mark.parametrize("limit", [texts.BROADCAST_BYTES, 0])
+def test_template_of_a_site_goes(spark, limit):
+    pages = site(spark).selectExpr("*", "1 AS host", "2 AS template", "3 AS text")
+    found = extract_main(pages, limit=limit).collect()
+    texts_of = {r.page_id: r.text for r in found}
+    for i in range(24):
+        assert texts_of[i] == f"Own words of page {i} about {i * 7}\nMore of {i}"
+        assert texts_of[100 + i] == f"Title {i}\nText {i}"
+        assert texts_of[200 + i] == "All pages are copies"
+    assert len(found) == 76 and texts_of[900] == "no url" and texts_of[901] == "" and texts_of[None] == "null id"
+    assert all(r.n_chars == len(r.text) for r in found)
+    assert extract_main(pages.limit(0)).count() == 0
+
+
+def test_importance(spark):
+    tree = {(r.host, r.path): r for r in style_tree(site(spark)).collect()}
+    body, top = tree["shop.example", "/body/div.body/p"], tree["shop.example", "/body/div.top/p"]
+    assert body.content == pytest.approx(1) and top.content == pytest.approx(0)
+    assert tree["copies.example", "/article/p.lead"].content == pytest.approx(0)
+    low = {r.host: set(r.template) for r in template_branches(site(spark)).collect()}
+    assert "/body/div.top" in low["shop.example"] and "copies.example" not in low
+
+
+def test_hosts(spark):
+    urls = ["https://u:p@WWW.Ex.org:80/a?b#c", "http://x.example", "mailto:a@b", "", None, "//x/y", "ftp://h/"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in df.select(host_of(df.url)).collect()] == ["www.ex.org", "x.example", "", "", "", "", "h"]
