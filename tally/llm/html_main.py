@@ -71,7 +71,9 @@ ASIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs pagination pager footer masthead toolbar topbar comment comments disqus respond reply replies "
     "discussion copyright legal disclaimer hidden skip search form feedback".split()
 )
+ASIDE_BEGINNINGS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "navbar", "newsletter", "sidebar", "sponsor")
 HEAD_WORDS = frozenset("header head topbar".split())  # not the heading of an article itself
+_LAYOUT = re.compile(r"(?:^|\s)(?:with|without|has|no|not|is)[-_]\S*")  # says what stands beside, as in has-sidebar
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|$)|<[!?][^>]*(?:>|$)|</[a-zA-Z][^>]*(?:>|$)"""
@@ -106,7 +108,10 @@ class Block:
 
 
 def _named_aside(value: str, within: bool) -> bool:
+    value = _LAYOUT.sub(" ", value)
     found = {w.lower() for w in _CLASS_WORD.findall(value)} | set(re.split(r"[^a-z]+", value.lower()))
+    if any(w.startswith(ASIDE_BEGINNINGS) for w in found):
+        return True
     return bool(found & ASIDE_WORDS) or (not within and bool(found & HEAD_WORDS))
 
 

@@ -35,6 +35,8 @@ def test_article_of_a_page():
         ("<article><p>&#65;&#x42;&copy;&nosuch; &notit;</p></article>", "AB©&nosuch; ¬it;"),
         ("<article>loose <i>in<b>line</i></b> words<div>block</div>tail</article>", "loose inline words\nblock\ntail"),
         ('<article><p title="a>b">quoted</p><p hidden>no</p><p style="display: none">no</p></article>', "quoted"),
+        ("<div class='content has-sidebar'><p>kept words here</p></div><ol class='commentlist'><li>Nice</ol>", "kept words here"),
+        ("<article class='post no-comments'><div id='mainNav'>Menu</div><p class='lead'>a</p><div class='adBox'>Buy</div></article>", "a"),
         ("<nav>menu<article><p>x</p></article></nav>", ""),
         ("<article><p>a\t\n  b&#8195;c</p></article>", "a b c"),
         ("</p></div>stray<p>end</b>", "stray\nend"),
