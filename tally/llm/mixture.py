@@ -22,11 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.llm.texts import BROADCAST_BYTES, written
+from tally.llm.texts import BROADCAST_BYTES, GAP, written
 from tally.operators import join_dim, rank_all
 
 GRID = 4096
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def source_targets(
@@ -60,18 +59,19 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("none")).otherwise(F.concat(F.lit("s:"), source))
 
 
-def _measured(docs: DataFrame, seed: str) -> dict[str, Column]:
+def _measures(docs: DataFrame, seed: str) -> list[Column]:
     """What the sample needs of a row; all of it is a function of the row's content."""
-    text_hash = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    identity = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text = F.coalesce(docs["text"], F.lit(""))
+    text_hash = F.md5(text)
+    identity = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
     drawn = F.substring(F.md5(F.concat_ws(":", F.lit(seed), identity, text_hash)), 1, 13)
-    return {
-        "_key": _key(F.col("source")),
-        "_id": identity,
-        "_hash": text_hash,
-        "_size": F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"),
-        "_u": (F.conv(drawn, 16, 10).cast("double") + 0.5) / float(2**52),
-    }
+    return [
+        _key(docs["source"]).alias("_key"),
+        identity.alias("_id"),
+        text_hash.alias("_hash"),
+        F.size(F.array_remove(F.split(text, GAP), "")).cast("long").alias("_size"),
+        ((F.conv(drawn, 16, 10).cast("double") + 0.5) / float(2**52)).alias("_u"),
+    ]
 
 
 def _rank_key() -> Column:
@@ -123,28 +123,13 @@ def _cuts(narrow: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[int] = (3, 1, 2),
-    share: float = 1.5,
-    most: float = 2.0,
-    seed: str = "mixture-1",
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """The rows of (doc_id, text, source, ...) with ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
-
-    ``size`` counts the words of the text (null: 0), ``copies`` is how often the mix takes the
-    row (0 to ``most``), ``taken`` their words.  Draws depend on ``seed``, doc_id and text only,
-    so reruns agree whatever the partitioning.  Repeated rows share a draw; where the sample ends
-    within a group of them, the right number is taken.  Null doc_id and null source are values
-    like others.  An empty source has target 0; an empty table gives no rows.  Columns of the
-    input named like a result column are replaced.
-    """
-    made = ["size", "source_size", "target", "copies", "taken"]
-    columns = [c for c in docs.columns if c not in made]
-    held = {f"in{i}": c for i, c in enumerate(columns)}  # so that no name of the input can clash
-    need = _measured(docs, seed)
-    narrow = written(docs.select("source", *[c.alias(n) for n, c in need.items()]), "mix-rows")
+def _planned(
+    docs: DataFrame, weights: Sequence[int], share: float, most: float, seed: str, limit: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, decisions): the measured rows without their texts; one row a source."""
+    narrow = written(
+        docs.select(docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), *_measures(docs, seed)), "mix-rows"
+    )
     sizes = narrow.groupBy("_key").agg(F.min("source").alias("source"), F.sum("_size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most).drop("source")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -154,13 +139,13 @@ def mix(
         .withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size"))
     )
     plan = written(plan, "mix-plan")
-    cuts = _cuts(narrow.drop("source"), plan, limit)
-    plan = written(plan.join(cuts, "_key", "left"), "mix-decisions")
+    cuts = _cuts(narrow.drop("source", "doc_id"), plan, limit)
+    return narrow, written(plan.join(cuts, "_key", "left"), "mix-decisions")
+
 
-    rows = join_dim(
-        docs.select(*[docs[c].alias(n) for n, c in held.items()], *[c.alias(n) for n, c in need.items()]),
-        plan, "_key", "left", spread_by=["_id", "_hash"], limit=limit,
-    ).withColumn("_v", _rank_key())
+def _taken(rows: DataFrame, narrow: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
+    """Measured ``rows`` with the result columns; every row decides for itself."""
+    rows = join_dim(rows, plan, "_key", "left", spread_by=["_id", "_hash"], limit=limit).withColumn("_v", _rank_key())
     own = F.struct("_v", "_id", "_hash")
     at_cut, closes = F.coalesce(own == F.col("_cut"), F.lit(False)), F.coalesce(own == F.col("_close"), F.lit(False))
     # of the rows alike that the sample ends in, this many are taken
@@ -168,22 +153,63 @@ def mix(
     rows = rows.withColumn("_due", F.when(at_cut | closes, due))
     special = F.col("_due").isNotNull()
     before = F.coalesce(own < F.col("_cut"), F.lit(False)).cast("long")
-    plain = rows.withColumn("_extra", F.when(special, F.least(F.col("_due"), F.lit(1).cast("long"))).otherwise(before))
+    extra = F.when(special, F.least(F.col("_due"), F.lit(1).cast("long"))).otherwise(before)
+    plain = rows.withColumn("_extra", extra)
     if _repeated(narrow, plan, limit):
         turn = F.row_number().over(Window.partitionBy("_key", "_id", "_hash").orderBy(F.lit(1)))
         several = rows.filter(special).withColumn("_extra", (turn <= F.col("_due")).cast("long"))
         plain = plain.filter(~special).unionByName(several)
     copies = F.coalesce(F.col("_whole") + F.col("_extra"), F.lit(0)).cast("long")
-    return plain.select(
-        *[F.col(n).alias(c) for n, c in held.items()],
-        F.col("_size").alias("size"),
-        F.col("source_size").cast("long").alias("source_size"),
-        F.col("target").cast("double").alias("target"),
-        copies.alias("copies"),
-        (copies * F.col("_size")).alias("taken"),
+    return plain.withColumns(
+        {
+            "size": F.col("_size"),
+            "source_size": F.col("source_size").cast("long"),
+            "target": F.col("target").cast("double"),
+            "copies": copies,
+            "taken": copies * F.col("_size"),
+        }
     )
 
 
+MADE = ["size", "source_size", "target", "copies", "taken"]
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: str = "mixture-1",
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The rows of (doc_id, text, source, ...) with ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
+
+    ``size`` counts the words of the text (null: 0), ``copies`` is how often the mix takes the
+    row (0 to ``most``), ``taken`` their words.  Draws depend on ``seed``, doc_id and text only,
+    so reruns agree whatever the partitioning.  Repeated rows share a draw; where the sample ends
+    within a group of them, the right number is taken.  Null doc_id and null source are values
+    like others.  An empty source has target 0; an empty table gives no rows.  Columns of the
+    input named like a result column are replaced.
+    """
+    held = {f"in{i}": c for i, c in enumerate(c for c in docs.columns if c not in MADE)}  # no name can clash
+    narrow, plan = _planned(docs, weights, share, most, seed, limit)
+    rows = docs.select(*[docs[c].alias(n) for n, c in held.items()], *_measures(docs, seed))
+    return _taken(rows, narrow, plan, limit).select(*[F.col(n).alias(c) for n, c in held.items()], *MADE)
+
+
+def mix_counts(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: str = "mixture-1",
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """:func:`mix` without the texts: doc_id, source and the result columns; texts are read once."""
+    narrow, plan = _planned(docs, weights, share, most, seed, limit)
+    return _taken(narrow, narrow, plan, limit).select("doc_id", "source", *MADE)
+
+
 def _repeated(narrow: DataFrame, plan: DataFrame, limit: int) -> bool:
     """Whether a cut or a closing row stands for several rows alike."""
     ends = plan.select("_key", F.explode(F.array("_cut", "_close")).alias("_end")).filter("_end is not null")

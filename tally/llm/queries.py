@@ -12,7 +12,7 @@ from tally.llm.decontamination import decontaminated
 from tally.llm.html_main import extract_main
 from tally.llm.licenses import ENDS, ENDS_OR_LINE, NOISE, RULES, SENTENCES, license_scan, pattern
 from tally.llm.line_frequency import drop_frequent_lines
-from tally.llm.mixture import mix
+from tally.llm.mixture import mix_counts
 from tally.llm.ngram_join import ngram_classes
 from tally.llm.quality import quality_report
 from tally.llm.texts import table
@@ -180,7 +180,7 @@ FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source
 
 @query(_OP7)
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"))
+    mixed = mix_counts(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
