@@ -35,7 +35,7 @@ DEPTH = 8
 RECALL = 0.9999
 BLOCK_CLASSES = 512
 BLOCK_GRAMS = 400_000
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 150_000
 NO_ID = -(2**63)  # stands for a null doc_id where rows are told apart
 
 _M = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the gram hash
@@ -224,11 +224,15 @@ def _with_grams(gram: int):
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found, size = [], 0
             for name, text in rows(batch, "class", "text"):
                 grams = gram_set(text, gram)
                 if _digest(grams) == name:  # not another row with this id and hash
                     found.append((name, grams.view(np.int64)))
+                    size += len(grams)
+                if size > 1_000_000:
+                    yield record_batch(schema, found)
+                    found, size = [], 0
             yield record_batch(schema, found)
 
     return added

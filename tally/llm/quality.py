@@ -13,16 +13,16 @@ yardstick.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tally.llm.texts import BROADCAST_BYTES, words, written
+from tally.llm.texts import BROADCAST_BYTES, rows, words, written
 from tally.operators import join_dim
 
 LEAST_WORDS = 50
@@ -97,41 +97,46 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-_FIELDS = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "char_counts array<long>, word_counts array<long>"
+_COUNTS = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("char_counts", "word_counts")]
 )
+_ARROW_COUNTS = pa.struct(
+    [(f.name, pa.list_(pa.int64()) if isinstance(f.dataType, T.ArrayType) else pa.int64()) for f in _COUNTS]
+)
+
+
+def _described(text: str | None, known: Mapping[str, int] | None) -> tuple:
+    text = text or ""
+    found = words(text)
+    bins = [0] * WORD_BINS
+    if known is not None:
+        for place, times in Counter(map(known.get, found)).items():
+            bins[WORD_BINS - 1 if place is None else place] = times
+    symbols = sum(map(text.count, _SYMBOLS))
+    return len(found), sum(map(len, found)), symbols, repeated_lines(text), repeated_words(found), char_classes(text), bins
+
 
+def described(
+    docs: DataFrame, common: Mapping[str, str] | None = None, text: str = "text", lang: str = "lang", drop: Sequence[str] = ()
+) -> DataFrame:
+    """``docs`` with ``f``, the base counts and both histograms of a text, less the columns in ``drop``.
 
-def described(text: Column, lang: Column, common: Mapping[str, str] | None = None) -> Column:
-    """A struct of the base counts and both histograms of a text; a null text counts as empty."""
+    ``text`` and ``lang`` name the columns; the language picks the common words.  A null text counts
+    as empty.
+    """
     forms = {name: _forms(listed) for name, listed in (COMMON if common is None else common).items()}
+    kept = [f for f in docs.schema if f.name not in drop]
 
-    @F.pandas_udf(_FIELDS)
-    def describe(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, lang in zip(texts, langs):
-            text = text or ""
-            found = words(text)
-            known = forms.get(lang)
-            bins = [0] * WORD_BINS
-            if known is not None:
-                for place, times in Counter(map(known.get, found)).items():
-                    bins[WORD_BINS - 1 if place is None else place] = times
-            out.append(
-                (
-                    len(found),
-                    sum(map(len, found)),
-                    sum(map(text.count, _SYMBOLS)),
-                    repeated_lines(text),
-                    repeated_words(found),
-                    char_classes(text),
-                    bins,
-                )
-            )
-        return pd.DataFrame(out, columns=[part.split()[0] for part in re.split(r",\s*(?=\w+ )", _FIELDS)])
-
-    return describe(text, lang)
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [_described(said, forms.get(language)) for said, language in rows(batch, text, lang)]
+            parts = [pa.array(column, field.type) for column, field in zip(zip(*counts), _ARROW_COUNTS)]
+            if counts:
+                whole = pa.StructArray.from_arrays(parts, fields=list(_ARROW_COUNTS))
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), whole], [*(f.name for f in kept), "f"])
+
+    return docs.mapInArrow(describe, T.StructType([*kept, T.StructField("f", _COUNTS)]))
 
 
 def references(described_docs: DataFrame) -> DataFrame:
@@ -203,12 +208,8 @@ def quality_report(docs: DataFrame, common: Mapping[str, str] | None = None, lim
     document.  Null texts have no words and fail; a null lang is a language of its own, judged by
     characters only.  Repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
-    counted = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        lang_key(F.col("lang")).alias("lang_key"),
-        described(F.col("text"), F.col("lang"), common).alias("f"),
-    )
-    counted = written(counted, "quality-counts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", lang_key(F.col("lang")).alias("lang_key"))
+    counted = written(described(texts, common, drop=["text", "lang"]), "quality-counts")
     judged = verdicts(counted, clean_references(counted, limit), limit=limit)
     return judged.select(
         "doc_id", "f.n_words", "f.word_chars", "f.n_symbols", "f.n_dup_lines", "f.n_repeat_words",
@@ -222,7 +223,9 @@ def keep_good(docs: DataFrame, common: Mapping[str, str] | None = None, limit: i
     The references come from a first pass over all documents, the verdicts from a second.
     """
     held = {f"in{i}": c for i, c in enumerate(docs.columns)}  # so that no name of the input can clash
-    shared = [lang_key(docs["lang"]).alias("lang_key"), described(docs["text"], docs["lang"], common).alias("f")]
-    refs = clean_references(written(docs.select(*shared), "quality-counts"), limit)
-    judged = verdicts(docs.select(*[docs[c].alias(n) for n, c in held.items()], *shared), refs, limit=limit)
+    texts = docs.select("lang", "text", lang_key(docs["lang"]).alias("lang_key"))
+    refs = clean_references(written(described(texts, common, drop=["text", "lang"]), "quality-counts"), limit)
+    named = {c: n for n, c in held.items()}
+    whole = docs.select(*[docs[c].alias(n) for n, c in held.items()], lang_key(docs["lang"]).alias("lang_key"))
+    judged = verdicts(described(whole, common, named["text"], named["lang"]), refs, limit=limit)
     return judged.filter("kept").select(*[F.col(n).alias(c) for n, c in held.items()])

@@ -14,6 +14,9 @@ from tally.workspace import fresh_path
 #: Broadcasts are made only of frames that were measured and are no larger than this.
 BROADCAST_BYTES = 16 * 1024 * 1024
 
+#: Rows whose texts a Python task holds as objects at once.
+ROWS_AT_ONCE = 128
+
 #: White space of the word definition: the space and U+0009 to U+000D, and nothing else.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -43,8 +46,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    """The named columns of a batch as Python tuples."""
-    return zip(*(batch.column(name).to_pylist() for name in names))
+    """The named columns of a batch as Python tuples, a few rows at a time in memory."""
+    for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+        part = batch.slice(start, ROWS_AT_ONCE)
+        yield from zip(*(part.column(name).to_pylist() for name in names))
 
 
 def record_batch(schema: pa.Schema, data: list[tuple]) -> pa.RecordBatch:
