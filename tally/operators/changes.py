@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tally.operators.joins import only_one
 from tally.schemas import AUDIT
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -20,13 +21,18 @@ def _key_list(key: str | Sequence[str]) -> list[str]:
 def pair_images(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Old and new image of each key side by side as structs ``before`` and ``after``.
 
-    The key must be unique in each image; a side without the key is NULL.
+    A side without the key is NULL; a key with a second row in an image is an error (take
+    :func:`latest_per_key` first where one of several is meant).
     """
     keys = _key_list(key)
     columns = before.columns
-    old = before.select(*keys, F.struct(*columns).alias("before"))
-    new = after.select(*keys, F.struct(*columns).alias("after"))
-    return old.join(new, keys, "full_outer")
+
+    def image(df: DataFrame, name: str) -> DataFrame:
+        whole = F.struct(*[F.col(c) for c in columns])
+        return df.groupBy(*keys).agg(F.any_value(whole).alias(name), F.count("*").alias(f"_{name}"))
+
+    joined = image(before, "before").join(image(after, "after"), keys, "full_outer")
+    return only_one(only_one(joined, "_before", keys), "_after", keys)
 
 
 def classify(paired: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def audit_pairs(
     carries both images needs no join, so this also runs as a plain streaming projection, with
     the feed's sequence as ``batch``.  Unchanged rows are dropped first, unchanged columns
     before anything is written.  ``aud_id`` is made of batch, table, key and column, so a rerun
-    repeats it.
+    repeats it; a key of several columns is written as JSON.
     """
     keys = _key_list(key)
     changed = classify(paired).filter(F.col("operation").isNotNull())
@@ -87,7 +93,10 @@ def audit_pairs(
             for name in cols
         ]
     )
-    identifier = F.concat_ws("/", *[F.col(name).cast("string") for name in keys])
+    if len(keys) == 1:
+        identifier = F.coalesce(F.col(keys[0]).cast("string"), F.lit("NULL"))
+    else:  # parts stay apart and a missing one shows
+        identifier = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     logged = (
         changed.select(
             batch.alias("_batch"), identifier.alias("aud_identifier_id"), "operation", F.inline(per_column)
@@ -123,16 +132,23 @@ def latest_per_key(changes: DataFrame, key: str | Sequence[str], order: Column)
 
 
 def apply_updates(
-    target: DataFrame, changes: DataFrame, key: str | Sequence[str], cols: Sequence[str]
+    target: DataFrame,
+    changes: DataFrame,
+    key: str | Sequence[str],
+    cols: Sequence[str],
+    order: Column | None = None,
 ) -> DataFrame:
-    """``target`` with ``cols`` taken from the matching change; ``changes`` has one row per key.
+    """``target`` with ``cols`` taken from the matching change.
 
-    A change to NULL is a change.  Keys unknown to ``target`` are ignored.  A stored change
-    table below Spark's broadcast threshold leaves the target unshuffled.
+    The rows of ``target`` are those that come out, never more.  Several changes of one key need
+    ``order``, of which the last counts; without it, a row that meets two changes is an error.  A
+    change to NULL is a change.  Keys unknown to ``target`` are ignored.
     """
     keys = _key_list(key)
-    new = changes.select(*keys, F.struct(*cols).alias("_new"))
-    joined = target.join(new, keys, "left")
+    if order is not None:
+        changes = latest_per_key(changes, keys, order)
+    new = changes.groupBy(*keys).agg(F.any_value(F.struct(*cols)).alias("_new"), F.count("*").alias("_found"))
+    joined = only_one(target.join(new, keys, "left"), "_found", keys)
     return joined.select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new")[name]).otherwise(F.col(name)).alias(name)

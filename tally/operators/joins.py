@@ -153,32 +153,40 @@ def join_one(
     on: str | Sequence[str],
     spread_by: Sequence[str] | None = None,
     limit: int | None = None,
+    hot_from: DataFrame | Callable[[], Hot] | None = None,
 ) -> DataFrame:
-    """Left join to at most one row of ``dim`` per key; a second row for a key is an error.
+    """Left join to at most one row of ``dim`` per key.
 
-    The check is a grouping of ``dim`` by the join key, whose partitioning the join reuses.
+    A row of ``fact`` that meets two rows is an error, whatever is selected afterwards; keys that
+    are double but unused are not.  ``dim`` is grouped by the join key, whose partitioning the
+    join reuses; the test of the row count stands after the join and is never pruned.
     """
     keys = _names(on)
     known = dim.dropna(subset=keys)
-    second = F.raise_error(F.concat(F.lit("more than one row for "), F.to_json(F.struct(*keys))))
     single = known.groupBy(*keys).agg(
-        *[
-            F.when(F.count("*") == 1, F.any_value(F.col(name))).otherwise(second).alias(name)
-            for name in dim.columns
-            if name not in keys
-        ]
+        F.count("*").alias("_found"), *[F.any_value(F.col(name)).alias(name) for name in dim.columns if name not in keys]
     )
     if fits_broadcast(known, BROADCAST_BYTES if limit is None else limit):
-        return fact.join(F.broadcast(single), keys, "left")
-    return spread_join(fact, single, keys, "left", spread_by)
+        joined = fact.join(F.broadcast(single), keys, "left")
+    else:
+        joined = spread_join(fact, single, keys, "left", spread_by, hot_from=hot_from)
+    return only_one(joined, "_found", keys)
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], dim_key: str | None = None) -> DataFrame:
+def only_one(joined: DataFrame, count: str, keys: Sequence[str]) -> DataFrame:
+    """``joined`` without ``count``; a row whose count is above 1 is an error."""
+    second = F.raise_error(F.concat(F.lit("more than one row for "), F.to_json(F.struct(*keys))))
+    return joined.filter(F.when(F.col(count) > 1, second.cast("boolean")).otherwise(True)).drop(count)
+
+
+def lookup(
+    df: DataFrame, dim: DataFrame, key: str, cols: dict[str, str], dim_key: str | None = None, limit: int | None = None
+) -> DataFrame:
     """Fetch ``cols`` (dim column -> new name) by key; NULL without a match, an error with two."""
     picked = dim.select(
         F.col(dim_key or key).alias(key), *[F.col(source).alias(name) for source, name in cols.items()]
     )
-    return join_one(df, picked, key)
+    return join_one(df, picked, key, limit=limit)
 
 
 def semi_theta(

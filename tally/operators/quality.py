@@ -6,7 +6,7 @@ All are one aggregation or one join over the table and run unchanged inside ``fo
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions import trimmed_length
-from tally.operators.joins import join_dim, join_one
+from tally.operators.joins import Hot, join_dim, join_one
 
 ACCEPTED, REJECTED, CLAMPED, UNPRICED, EMPTY = "accepted", "rejected", "clamped", "unpriced", "empty"
 
@@ -112,6 +112,8 @@ def judge_against_reference(
     ref_value: str,
     pct: Decimal,
     spread_by: Sequence[str] | None = None,
+    limit: int | None = None,
+    hot_from: DataFrame | Callable[[], Hot] | None = None,
 ) -> DataFrame:
     """Every change with its reference value and a ``verdict``.
 
@@ -129,7 +131,7 @@ def judge_against_reference(
         .when(F.col(value).between(F.col("_low"), F.col("_high")), ACCEPTED)
         .otherwise(CLAMPED)
     )
-    joined = join_one(changes, listed, keys, spread_by)
+    joined = join_one(changes, listed, keys, spread_by, limit, hot_from)
     return joined.withColumn("verdict", verdict).drop("_low", "_high")
 
 
@@ -142,13 +144,15 @@ def clamp_to_reference(
     pct: Decimal = Decimal("0.20"),
     policy: str = "clamp_to_list",
     spread_by: Sequence[str] | None = None,
+    limit: int | None = None,
+    hot_from: DataFrame | Callable[[], Hot] | None = None,
 ) -> DataFrame:
     """Changes with ``validated`` = the value if within ±``pct`` of the reference.
 
     Otherwise ``clamp_to_list`` takes the reference value (also for a missing value) and
     ``reject`` leaves the row out.  Rows without a reference are dropped under both.
     """
-    judged = judge_against_reference(changes, ref, keys, value, ref_value, pct, spread_by)
+    judged = judge_against_reference(changes, ref, keys, value, ref_value, pct, spread_by, limit, hot_from)
     if policy == "reject":
         kept = judged.filter(F.col("verdict") == ACCEPTED)
     elif policy == "clamp_to_list":

@@ -26,13 +26,18 @@ def _per_batch(
     sink: str,
     checkpoint: str,
     trigger: dict | None,
+    keep: bool = False,
 ) -> StreamingQuery:
+    """``keep`` holds a batch that is read more than once; its size is the source's to bound."""
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # measured and joined more than once
+        if keep:
+            batch.persist()
         try:
             work(batch, batch_id).write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch_id}")
         finally:
-            batch.unpersist()
+            if keep:
+                batch.unpersist()
 
     writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -48,29 +53,36 @@ def audit_stream(
     table: str,
     user: str,
     station: str,
-    at: datetime.datetime | None = None,
+    at: datetime.datetime | Callable[[int], datetime.datetime] | None = None,
     deleted: Column | None = None,
     order: Column | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Audit a stream of new row images against the present table.
 
-    ``current`` is the table, or, when it moves on between batches, a function from batch id to
-    its state before that batch (the same answer on a retry).  ``deleted`` marks change rows
-    that remove their key; ``order`` ranks several changes of one key within a batch, of which
-    the last counts.
+    ``current`` is a function from batch id to the table's state before that batch (the same answer
+    on a retry).  A plain table serves a stream of one batch; a second batch is then an error, as
+    it would be compared with a state that is out of date.  ``at`` is the stamp, or a function from
+    batch id to it, so that a retry repeats it.  ``deleted`` marks change rows that remove
+    their key (NULL does not); ``order`` ranks several changes of one key within a batch, of which
+    the last counts; without it a second change of a key is an error.
     """
+    if at is None:
+        raise ValueError("give the time stamp: a retried batch must repeat it")
+    wanted = list(dict.fromkeys([key, *cols]))
 
     def audit(batch: DataFrame, batch_id: int) -> DataFrame:
+        if not callable(current) and batch_id > 0:
+            raise ValueError("a second batch needs `current` as a function from batch id to table")
         net = latest_per_key(batch, key, order) if order is not None else batch
         present = current(batch_id) if callable(current) else current
         touched = net.select(key)
-        before = join_dim(present.select(*cols), touched, key, "left_semi")
-        after = net if deleted is None else net.filter(~deleted)
-        stamp = at or datetime.datetime.now()
+        before = join_dim(present.select(*wanted), touched, key, "left_semi")
+        after = net if deleted is None else net.filter(~F.coalesce(deleted, F.lit(False)))
+        stamp = at(batch_id) if callable(at) else at
         return audit_changes(before, after, key, cols, table, user, station, stamp, str(batch_id))
 
-    return _per_batch(changes, audit, sink, checkpoint, trigger)
+    return _per_batch(changes, audit, sink, checkpoint, trigger, keep=True)
 
 
 def validate_stream(

@@ -97,3 +97,29 @@ def test_apply_updates(spark):
     changes = spark.createDataFrame([(2, None, 21), (3, "C", 31), (9, "z", 99)], "k int, name string, n int")
     assert rows(apply_updates(target, changes, "k", ["name", "n"])) == [(1, "a", 10), (2, None, 21), (3, "C", 31)]
     assert rows(apply_updates(target, changes, "k", ["n"])) == [(1, "a", 10), (2, "b", 21), (3, "c", 31)]
+
+
+def test_a_second_change_of_a_key_is_an_error_or_ordered(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (9, "z", 1), (9, "w", 2)], "k int, v string, seq int")
+    with pytest.raises(Exception, match="more than one row"):
+        apply_updates(target, changes, "k", ["v"]).collect()
+    assert rows(apply_updates(target, changes, "k", ["v"], order=F.col("seq"))) == [(1, "y"), (2, "b")]
+    # keys that the target does not have are ignored, also double ones
+    assert rows(apply_updates(target, changes.filter("k = 9"), "k", ["v"])) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("double", ["before", "after"])
+def test_a_second_image_of_a_key_is_an_error(spark, double):
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    two = one.union(one.filter("k = 1"))
+    images = (two, one) if double == "before" else (one, two)
+    with pytest.raises(Exception, match="more than one row"):
+        pair_images(*images, "k").select("k").collect()
+
+
+def test_identifiers_of_several_columns_stay_apart(spark):
+    before = spark.createDataFrame([("a/b", "c", 1), ("a", "b/c", 1), (None, "a", 1), ("a", None, 1)], "x string, y string, v int")
+    log = audit_changes(before, before.limit(0), ["x", "y"], ["v"], "t", "clerk", "desk", AT)
+    ids = [r.aud_id for r in log.collect()]
+    assert len(set(ids)) == len(ids) == 4

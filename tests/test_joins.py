@@ -123,3 +123,13 @@ def test_spread_join_on_any_rows(spark, left, right, how):
     a = spark.createDataFrame(left, "k int, x int")
     b = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "k long, y int")
     assert rows(spread_join(a, b, "k", how, share=0.05)) == rows(a.join(b, "k", how))
+
+
+def test_join_one_fails_only_where_a_row_meets_two(spark):
+    fact = spark.createDataFrame([(1,), (2,)], "k int")
+    dim = spark.createDataFrame([(1, "a"), (9, "x"), (9, "y")], "k int, name string")
+    for limit in (None, 0):
+        assert rows(join_one(fact, dim, "k", limit=limit)) == [(1, "a"), (2, None)]
+        met = join_one(fact.union(spark.createDataFrame([(9,)], "k int")), dim, "k", limit=limit)
+        with pytest.raises(Exception, match="more than one row"):
+            met.select("k").collect()

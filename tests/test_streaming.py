@@ -122,3 +122,31 @@ def test_violations_stream(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "bad"))) == [(d("2015-12-31"),), (d("2020-01-01"),)]
     seen = [p["observedMetrics"]["checked"] for p in query.recentProgress if p["observedMetrics"]]
     assert sum(m["total_rows"] for m in seen) == 4 and sum(m["errors"] for m in seen) == 2
+
+
+def test_a_missing_mark_is_no_deletion(spark, tmp_path, feed):
+    add, read = feed
+    add((1, "a2", 1, 1, None))
+    before = spark.createDataFrame([(1, "a", 1)], "plane_id int, brand string, capacity int")
+    got = audited(spark, tmp_path, read, before, deleted=F.col("gone"))
+    assert rows(got.select("aud_operation", "aud_column", "aud_after")) == [("UPDATE", "brand", "a2")]
+
+
+def test_the_key_need_not_be_audited(spark, tmp_path, feed):
+    add, read = feed
+    add((1, "b", 1, 1, False))
+    before = spark.createDataFrame([(1, "a", 1)], "plane_id int, brand string, capacity int")
+    audit_stream(read(), before, "plane_id", ["brand"], f"{tmp_path}/log", f"{tmp_path}/cp", *STAMP, at=AT).awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/log").select("aud_column", "aud_before")) == [("brand", "a")]
+
+
+def test_a_plain_table_serves_one_batch(spark, tmp_path, feed):
+    add, read = feed
+    before = spark.createDataFrame([(1, "a", 1)], "plane_id int, brand string, capacity int")
+    add((1, "a2", 1, 1, False))
+    audited(spark, tmp_path, read, before)
+    add((1, "a3", 1, 2, False))
+    with pytest.raises(Exception, match="second batch"):
+        audited(spark, tmp_path, read, before)
+    with pytest.raises(ValueError, match="time stamp"):
+        audit_stream(read(), before, "plane_id", COLUMNS, "x", "y", *STAMP)
