@@ -1,8 +1,9 @@
 """Rows kept as ``INSERT ... VALUES`` lines, read and written as a distributed text job.
 
 One statement per line.  Anything else in the file (separators, comments, other tables)
-is passed over, so several tables may share a file; a line that starts as an INSERT but
-cannot be read as one is an error, never a lost row.
+is passed over, so several tables may share a file.  A line with an INSERT anywhere outside
+literals and comments is read or is an error, never a lost row: also one behind another statement,
+one with values that are not literals, and one with columns that the schema does not have.
 """
 
 from __future__ import annotations
@@ -16,8 +17,14 @@ from pyspark.sql import types as T
 from tally.workspace import fresh_path
 
 _QUOTED = r"N?'[^']*+(?:''[^']*+)*+'"
-_LITERAL = rf"CAST\(\s*(?:{_QUOTED}|[^\s']+)\s+AS\s+[^()]*(?:\([^()]*\))?\s*\)|{_QUOTED}|[^\s,()']+"
-_HEAD = r"(?i)^\s*INSERT\s+(?:INTO\s+)?(?:\[?\w+\]?\.)?\[?(\w+)\]?\s*\(([^)]*)\)\s*VALUES\s*\((.*)\)\s*;?\s*$"
+_BARE = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:E[-+]?\d+)?|0x[0-9A-F]*|NULL|TRUE|FALSE"
+_LITERAL = rf"CAST\(\s*(?:{_QUOTED}|{_BARE})\s+AS\s+\w+\s*(?:\([\d\s,]*\))?\s*\)|{_QUOTED}|(?:{_BARE})(?=[\s,]|$)"
+_ROW = rf"(?i)^\s*(?:{_LITERAL})(?:\s*,\s*(?:{_LITERAL}))*+\s*$"
+_HEAD = (
+    r"(?i)^\s*(?:/\*.*?\*/\s*)*INSERT\s+(?:INTO\s+)?(?:\[?\w+\]?\.)?\[?(\w+)\]?\s*\(([^)]*)\)\s*"
+    r"VALUES\s*\((.*)\)\s*;?\s*$"
+)
+_HIDDEN = rf"{_QUOTED}|/\*.*?\*/|--.*$"
 
 
 def _value(token: Column) -> Column:
@@ -40,26 +47,29 @@ def _statements(spark: SparkSession, path: str) -> DataFrame:
     """(table, column -> text) of every INSERT line."""
     line = F.col("value")
     table = F.lower(F.regexp_extract(line, _HEAD, 1))
+    values = F.regexp_extract(line, _HEAD, 3)
     unreadable = F.raise_error(F.concat(F.lit("cannot read INSERT line: "), F.substring(line, 1, 200)))
     return (
         spark.read.text(path)
-        .filter(line.rlike(r"(?i)^\s*INSERT\s"))
+        .filter(F.regexp_replace(line, _HIDDEN, " ").rlike(r"(?i)\bINSERT\b"))
         .select(
-            F.when(table != "", table).otherwise(unreadable).alias("table"),
+            F.when((table != "") & values.rlike(_ROW), table).otherwise(unreadable).alias("table"),
             F.transform(
                 F.split(F.regexp_extract(line, _HEAD, 2), ","),
                 lambda name: F.lower(F.regexp_replace(name, r"[\[\]\s]", "")),
             ).alias("names"),
-            F.transform(
-                F.regexp_extract_all(F.regexp_extract(line, _HEAD, 3), F.lit(f"(?i)({_LITERAL})"), F.lit(1)), _value
-            ).alias("texts"),
+            F.transform(F.regexp_extract_all(values, F.lit(f"(?i)({_LITERAL})"), F.lit(1)), _value).alias("texts"),
         )
         .select("table", F.map_from_arrays("names", "texts").alias("row"))
     )
 
 
 def _rows(statements: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    return statements.filter(F.col("table") == table.lower()).select(
+    known = F.array(*[F.lit(field.name.lower()) for field in schema])
+    unknown = F.array_except(F.map_keys("row"), known)
+    refused = F.raise_error(F.concat(F.lit(f"{table} has no column "), F.array_join(unknown, ", ")))
+    own = statements.filter(F.col("table") == table.lower())
+    return own.filter(F.when(F.size(unknown) > 0, refused.cast("boolean")).otherwise(True)).select(
         *[
             _typed(F.try_element_at("row", F.lit(field.name.lower())), field.dataType).alias(field.name)
             for field in schema
@@ -89,7 +99,10 @@ def _literal(field: T.StructField) -> Column:
     quoted = F.concat(F.lit("N'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
     kind = field.dataType
     if isinstance(kind, T.StringType):
-        written = quoted
+        broken = F.raise_error(F.lit(f"{field.name}: a line end cannot be kept in an INSERT line"))
+        written = F.when(text.rlike(r"[\r\n\u0085\u2028\u2029]"), broken).otherwise(quoted)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        written = F.concat(F.lit("CAST("), quoted, F.lit(" AS DateTime)"))
     elif isinstance(kind, T.DateType):
         written = F.concat(F.lit("CAST("), quoted, F.lit(" AS Date)"))
     elif isinstance(kind, T.DecimalType):

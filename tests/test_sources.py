@@ -141,3 +141,45 @@ def test_wide_ids_read_both_widths(spark, tmp_path):
     assert rows(tables("payment_types")) == [(big, "Bo")]
     assert dict(tables("cabin_types").dtypes) == {"cabin_type_id": "bigint", "name": "string"}
     assert wide(TABLES["planes"])["capacity"].dataType == T.IntegerType()
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "SET IDENTITY_INSERT t ON INSERT [dbo].[states] ([state_id], [name]) VALUES (2, N'x')",
+        "INSERT [dbo].[states] ([state_id], [name]) VALUES (1, getdate())",
+        "INSERT [dbo].[states] ([state_id], [name]) VALUES (1, getdate(), 'lost')",
+        "INSERT [dbo].[states] ([state_id], [name]) VALUES (1, nothing)",
+        "INSERT [dbo].[states] ([state_id], [name]) SELECT 1, 'x'",
+    ],
+)
+def test_lines_that_are_not_literal_rows_are_errors(spark, tmp_path, line):
+    path = tmp_path / "odd.sql"
+    path.write_text(line + "\n")
+    with pytest.raises(Exception, match="cannot read INSERT line"):
+        read_insert_dump(spark, str(path), "states", TABLES["states"]).collect()
+
+
+def test_comments_and_texts_that_mention_inserts(spark, tmp_path):
+    path = tmp_path / "odd.sql"
+    path.write_text(
+        "/* seed */ INSERT [dbo].[states] ([state_id], [name]) VALUES (1, N'kept?')\n-- INSERT later\nPRINT 'INSERT INTO x'\n"
+        "INSERT [dbo].[states] ([state_id], [name]) VALUES (2, N'-- INSERT (1)')\n"
+    )
+    got = read_insert_dump(spark, str(path), "states", TABLES["states"])
+    assert rows(got.select("state_id", "name")) == [(1, "kept?"), (2, "-- INSERT (1)")]
+
+
+def test_unknown_columns_are_errors(spark, tmp_path):
+    path = tmp_path / "odd.sql"
+    path.write_text("INSERT [dbo].[states] ([state_id], [motto]) VALUES (1, N'x')\n")
+    with pytest.raises(Exception, match="no column motto"):
+        read_insert_dump(spark, str(path), "states", TABLES["states"]).collect()
+
+
+def test_timestamps_return_and_line_ends_are_refused(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2020-01-02 03:04:05' AS at, true AS ok, 'a''b' AS name")
+    write_insert_dump(df, str(tmp_path / "dump"), "t")
+    assert rows(read_insert_dump(spark, str(tmp_path / "dump"), "t", df.schema)) == rows(df)
+    with pytest.raises(Exception, match="line end"):
+        write_insert_dump(spark.sql("SELECT 'a\\nb' AS name"), str(tmp_path / "broken"), "t")
