@@ -20,17 +20,19 @@ def rank_all(
     order: Sequence[Column],
     position: str = "position",
     bound: int | DataFrame | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Number every row by ``order``, which must end in a unique key.
 
-    ``bound`` is a known limit on the rows, or the table whose keys the rows are grouped by;
-    when it shows the result to be small, one window does.  Otherwise: one range sort, kept in
+    ``bound`` is a known limit on the rows: a number, or a table that holds a row for each of them
+    (one they were joined to by their grouping key, never one whose key they only share by name).
+    When it is no more than ``one_task_rows``, one window does.  Otherwise: one range sort, kept in
     the shared folder; then each row's rank is its place in its range plus the sizes of the
     ranges before.  Either way the rows come back in rank order without another sort.
     """
     if bound is not None:
         most = bound if isinstance(bound, int) else bound.count()
-        if most <= ONE_TASK_ROWS:
+        if most <= one_task_rows:
             return df.withColumn(position, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
     stored = store(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))

@@ -60,6 +60,7 @@ _DUMPED = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("price", T.DecimalType(10, 2)),
         T.StructField("made_on", T.DateType()),
+        T.StructField("sold_at", T.TimestampNTZType()),
     ]
 )
 
@@ -70,7 +71,8 @@ _DUMPED = T.StructType(
     SELECT CAST(p_partkey AS INTEGER) AS item_id,
            CASE WHEN p_partkey % 11 <> 0 THEN p_name || '''s (no. ' || CAST(p_partkey AS VARCHAR) || '), CAST ' END AS name,
            CAST(p_retailprice AS DECIMAL(10,2)) AS price,
-           DATE '2000-01-01' + CAST(p_partkey % 3000 AS INTEGER) AS made_on
+           DATE '2000-01-01' + CAST(p_partkey % 3000 AS INTEGER) AS made_on,
+           strftime(TIMESTAMP '2001-02-03 00:00:00' + to_minutes(CAST(p_partkey % 1440 AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS sold_at
     FROM part""",
 )
 def src_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +84,13 @@ def src_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 11 != 0, odd_name).alias("name"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         F.date_add(F.lit(datetime.date(2000, 1, 1)), (key % 3000).cast("int")).alias("made_on"),
+        F.expr("TIMESTAMP_NTZ'2001-02-03 00:00:00' + make_dt_interval(0, 0, CAST(p_partkey % 1440 AS INT), 0)").alias("sold_at"),
     )
     folder = fresh_path(spark, "dump")
     write_insert_dump(items, f"{folder}/items", "items")
     write_insert_dump(part(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), f"{folder}/staff", "staff")
-    return read_insert_dump(spark, f"{folder}/*", "items", _DUMPED)
+    read = read_insert_dump(spark, f"{folder}/*", "items", _DUMPED)
+    return read.withColumn("sold_at", F.date_format("sold_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
@@ -365,6 +369,43 @@ def jn_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced.select("ticket_id", "flight_id", "route_id", "cabin_type_id", "final_price", "price")
 
 
+@query(
+    "jn_composite_spread",
+    """
+    SELECT ticket_id, flight_id, route_id, cabin_type_id, final_price, price
+    FROM tickets JOIN flights USING (flight_id) JOIN routes_cabin_types USING (route_id, cabin_type_id)""",
+    "tickets flights routes_cabin_types",
+)
+def jn_composite_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without broadcasts: what runs when no side is small."""
+    t = OrderTables(spark, sf_dir)
+    tickets = t("tickets", "ticket_id", "flight_id", "cabin_type_id", "final_price")
+    flights = t("flights", "flight_id", "route_id")
+    routed = join_dim(tickets, flights, "flight_id", spread_by=["ticket_id"], limit=0, hot_from=t.hot_flights)
+    keys = ["route_id", "cabin_type_id"]
+    priced = join_dim(routed, t("routes_cabin_types"), keys, spread_by=["ticket_id", "flight_id"], limit=0)
+    return priced.select("ticket_id", "flight_id", "route_id", "cabin_type_id", "final_price", "price")
+
+
+@query(
+    "jn_lookup_spread",
+    """
+    SELECT ticket_id, flight_id, employee_id,
+           (SELECT first_name || ' ' || last_name FROM employees e WHERE e.employee_id = t.employee_id) AS name
+    FROM tickets t""",
+    "tickets employees",
+)
+def jn_lookup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup without a broadcast."""
+    t = OrderTables(spark, sf_dir)
+    staff = t("employees", "employee_id", "first_name", "last_name").withColumn(
+        "full_name", full_name("first_name", "last_name")
+    )
+    tickets = t("tickets", "ticket_id", "flight_id", "employee_id")
+    named = lookup(tickets, staff, "employee_id", {"full_name": "name"}, limit=0)
+    return named.select("ticket_id", "flight_id", "employee_id", "name")
+
+
 @query(
     "jn_semi_theta",
     """
@@ -689,7 +730,8 @@ def wn_rankpart2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wn_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = OrderTables(spark, sf_dir)
     sold = t("tickets", "employee_id").groupBy("employee_id").agg(F.count("*").alias("total"))
-    return ranked(sold, [F.desc("total"), F.asc("employee_id")], top=3, bound=t("employees", "employee_id"))
+    # employees are not joined, so their number is no bound on the ids found in tickets
+    return ranked(sold, [F.desc("total"), F.asc("employee_id")], top=3)
 
 
 @query(
@@ -828,22 +870,22 @@ _function(
     "fn_convert",
     "employees",
     "employee_id",
-    lambda: (F.col("employee_id") % 10).cast("decimal(10,2)"),
-    "CAST(employee_id % 10 AS DECIMAL(10,2))",
+    lambda: (F.col("employee_id") / 7).cast("decimal(10,2)"),
+    "CAST((200 * employee_id + 7) // 14 / 100.0 AS DECIMAL(10,2))",
 )
 _function(
     "fn_cast",
     "flights",
     "date",
-    lambda: F.concat(F.col("date").cast("string"), F.lit("")).cast("date"),
-    "CAST(CAST(date AS VARCHAR) AS DATE)",
+    lambda: F.concat(F.col("date").cast("string"), F.lit(" 23:59:59")).cast("timestamp_ntz").cast("date"),
+    "make_date(year(date), month(date), day(date))",
 )
 _function(
     "fn_implicit",
     "flights",
     "plane_id, date",
     lambda: F.concat(F.col("plane_id").cast("string"), F.lit("/"), F.date_format("date", "yyyy-MM-dd")),
-    "CAST(plane_id AS VARCHAR) || '/' || strftime(date, '%Y-%m-%d')",
+    "format('{}/{:04d}-{:02d}-{:02d}', plane_id, year(date), month(date), day(date))",
 )
 _function("fn_add", "flights", "date", lambda: F.month("date") + 100, "CAST(100 + month(date) AS INTEGER)")
 _function(

@@ -13,7 +13,6 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tally.operators.joins import Hot, hot_keys, join_dim
 
@@ -35,16 +34,9 @@ AS_OF = datetime.date(2001, 12, 31)
 ORIGIN, DESTINATION = "CITY_0", "CITY_1"
 
 
-_schemas: dict[str, T.StructType] = {}
-_hot_orders: dict[str, Hot] = {}
-
-
 def part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema is looked up in a file footer once per path."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A test table, with the schema it has now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _values(rows: list[tuple], names: str) -> str:
@@ -61,6 +53,7 @@ class OrderTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._hot: Hot | None = None
 
     def __call__(self, name: str, *columns: str) -> DataFrame:
         table = getattr(self, f"_{name}")(columns)
@@ -98,10 +91,10 @@ class OrderTables:
         )
 
     def hot_flights(self) -> Hot:
-        """Looked for once per folder: how work is spread needs no fresher answer."""
-        if self.sf_dir not in _hot_orders:
-            _hot_orders[self.sf_dir] = hot_keys(self._read("lineitem").select("l_orderkey"), "l_orderkey")
-        return _hot_orders[self.sf_dir]
+        """Looked for once per binding, and only if a join is not broadcast."""
+        if self._hot is None:
+            self._hot = hot_keys(self._read("lineitem").select("l_orderkey"), "l_orderkey")
+        return self._hot
 
     def _flights(self, columns: tuple[str, ...]) -> DataFrame:
         key = F.col("o_orderkey")

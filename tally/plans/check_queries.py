@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import re
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tally.operators.changes import apply_updates, audit_changes, audit_pairs, classify, pair_images
@@ -24,8 +25,10 @@ from tally.operators.quality import (
     orphans,
     tolerance_summary,
 )
-from tally.plans.bindings import OrderTables, part
+from tally.plans.bindings import SQL, OrderTables, part
+from tally.plans.integrity import declared_checks
 from tally.plans.registry import query
+from tally.schemas import MAX_LENGTHS, PRIMARY_KEYS, REFERENCES, REQUIRED
 from tally.streaming import audit_stream, validate_stream, violations_stream
 from tally.workspace import fresh_path
 
@@ -100,6 +103,15 @@ for _key in ("q_tolerance", "tr03"):
     query(_key, _CLAMPED_SQL, "tickets flights routes_cabin_types")(_clamped)
 
 
+@query("q_tolerance_spread", _CLAMPED_SQL, "tickets flights routes_cabin_types")
+def q_tolerance_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without broadcasts: what runs when the price list is not small."""
+    kept = clamp_to_reference(
+        _proposed(spark, sf_dir), _price_list(spark, sf_dir), PRICE_KEYS, "final_price", "price", PCT, spread_by=TICKET, limit=0
+    )
+    return kept.select(*TICKET, "cabin_type_id", "verdict", "validated")
+
+
 @query(
     "q_tolerance_reject",
     _PRICED + " SELECT ticket_id, flight_id, final_price AS validated FROM judged WHERE verdict = 'accepted'",
@@ -273,6 +285,45 @@ def q_rules_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_defaults(people, {"gender": "?", "last_name": named})
 
 
+DECLARED = (
+    "tickets flights customers employees routes planes routes_cabin_types cabin_types cities_states states zipcodes "
+    "weekdays locations payment_types"
+).split()
+
+
+def _declared_sql() -> str:
+    """The same report, a statement a constraint, over the columns that the derived tables have."""
+    has = {name: set(re.findall(r"\w+", SQL[name])) for name in DECLARED}
+    parts = []
+
+    def add(kind: str, name: str, column: str, count: str) -> None:
+        parts.append(f"SELECT '{kind}' AS kind, '{name}' AS \"table\", '{column}' AS \"column\", CAST(({count}) AS BIGINT) AS violations")
+
+    for name in DECLARED:
+        key = ", ".join(PRIMARY_KEYS[name])
+        missing = " OR ".join(f"{c} IS NULL" for c in PRIMARY_KEYS[name])
+        grouped = f"SELECT {key}, count(*) AS n FROM {name} GROUP BY {key} HAVING count(*) > 1 OR {missing}"
+        if set(PRIMARY_KEYS[name]) <= has[name]:
+            add("primary key", name, key, f"SELECT coalesce(sum(n), 0) FROM ({grouped})")
+        for c in REQUIRED[name]:
+            if c in has[name]:
+                add("required", name, c, f"SELECT count(*) FROM {name} WHERE {c} IS NULL")
+        for c, n in MAX_LENGTHS[name].items():
+            if c in has[name]:
+                add("length", name, c, f"SELECT count(*) FROM {name} WHERE length({c}) > {n}")
+        for child, c, parent, parent_key in REFERENCES:
+            if child == name and parent in DECLARED and c in has[name]:
+                known = f"SELECT {parent_key} FROM {parent}"
+                add("reference", name, f"{c} -> {parent}", f"SELECT count(*) FROM {name} WHERE {c} IS NOT NULL AND {c} NOT IN ({known})")
+    return " UNION ALL ".join(parts)
+
+
+@query("q_declared", _declared_sql(), " ".join(DECLARED))
+def q_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, references, required columns and text limits of the derived tables in one report."""
+    return declared_checks(OrderTables(spark, sf_dir), DECLARED)
+
+
 # --- change auditing -------------------------------------------------------------------------
 
 _IMAGES = """
@@ -356,37 +407,89 @@ def ch_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(pair_images(before, after, "p_partkey")).select("p_partkey", "operation")
 
 
+_NUMBERED = """
+    , asked AS (
+        SELECT t.*, route_id,
+               row_number() OVER (PARTITION BY flight_id, ticket_id ORDER BY final_price, cabin_type_id) AS n
+        FROM tickets t JOIN flights USING (flight_id)),
+    listed AS (SELECT * FROM routes_cabin_types WHERE cabin_type_id <> 'R'),
+    stored AS (
+        SELECT ticket_id, flight_id, n, CASE
+            WHEN l.price IS NULL THEN final_price
+            WHEN ticket_id % 50 <> 0 AND final_price BETWEEN l.price * 0.80 AND l.price * 1.20 THEN final_price
+            ELSE l.price END AS final_price
+        FROM asked LEFT JOIN listed l USING (route_id, cabin_type_id))"""
+
+
+def _stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ticket after its validated price was written back; unpriced tickets keep theirs."""
+    t = OrderTables(spark, sf_dir)
+    flights = t("flights", "flight_id", "route_id")
+    bought = t("tickets", "ticket_id", "flight_id", "cabin_type_id", "final_price")
+    alike = Window.partitionBy("flight_id", "ticket_id").orderBy("final_price", "cabin_type_id")
+    bought = bought.withColumn("n", F.row_number().over(alike).cast("long"))  # with it, rows have a key
+    target = join_dim(bought, flights, "flight_id", spread_by=["ticket_id"], hot_from=t.hot_flights)
+    asked = target.withColumn("final_price", F.when(F.col("ticket_id") % 50 != 0, F.col("final_price")))
+    kept = clamp_to_reference(asked, _price_list(spark, sf_dir), PRICE_KEYS, "final_price", "price", PCT, spread_by=TICKET)
+    changes = kept.select(*TICKET, "n", F.col("validated").alias("final_price"))
+    return apply_updates(target, changes, [*TICKET, "n"], ["final_price"]).select(*TICKET, "n", "final_price")
+
+
+query(
+    "tr03_apply",
+    _NUMBERED + " SELECT * FROM stored",
+    "tickets flights routes_cabin_types",
+)(_stored_prices)
+
+
+@query(
+    "tr04_apply",
+    _RENAMED
+    + f"""
+    SELECT customer_id, CASE WHEN {_INSIDE.replace("first_name", "renamed.first_name")} THEN renamed.first_name
+                             ELSE c.first_name END AS first_name
+    FROM customers c LEFT JOIN renamed USING (customer_id), bounds""",
+    "customers",
+)
+def tr04_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First names whose length is allowed are written back to their customer."""
+    people = OrderTables(spark, sf_dir)("customers", "customer_id", "first_name")
+    allowed = check_length_bounds(people, _renamed(spark, sf_dir), "first_name").accepted
+    return apply_updates(people, allowed, "customer_id", ["first_name"])
+
+
 @query(
     "ch_apply",
-    _CLAMPED_SQL.replace(
-        "SELECT ticket_id, flight_id, cabin_type_id, verdict,",
-        ", validated AS (SELECT ticket_id, flight_id, cabin_type_id, verdict,",
-        1,
-    )
-    + """)
-    SELECT flight_id, coalesce(v.paid, s.paid) AS paid
-    FROM (SELECT flight_id, CAST(sum(final_price) AS DECIMAL(20,2)) AS paid FROM tickets GROUP BY 1) s
-    LEFT JOIN (SELECT flight_id, CAST(sum(validated) AS DECIMAL(20,2)) AS paid FROM validated GROUP BY 1) v
-    USING (flight_id)""",
+    _NUMBERED + " SELECT flight_id, CAST(sum(final_price) AS DECIMAL(20,2)) AS paid FROM stored GROUP BY flight_id",
     "tickets flights routes_cabin_types",
 )
 def ch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Takings per flight replaced by the sum of the validated prices where there are any."""
-    money = "decimal(20,2)"
-    stored = (
-        OrderTables(spark, sf_dir)("tickets", "flight_id", "final_price")
-        .groupBy("flight_id")
-        .agg(F.sum("final_price").cast(money).alias("paid"))
+    """Takings per flight after the validated prices are written back; unpriced tickets keep theirs.
+
+    What a ticket costs afterwards is decided on its own row, so one pass and one grouping do.
+    """
+    asked = F.when(F.col("ticket_id") % 50 != 0, F.col("final_price"))
+    t = OrderTables(spark, sf_dir)
+    bought = t("tickets", "ticket_id", "flight_id", "cabin_type_id", "final_price").withColumn("asked", asked)
+    routed = join_dim(bought, t("flights", "flight_id", "route_id"), "flight_id", spread_by=["ticket_id"], hot_from=t.hot_flights)
+    judged = judge_against_reference(routed, _price_list(spark, sf_dir), PRICE_KEYS, "asked", "price", PCT, TICKET)
+    after = (
+        F.when(F.col("verdict") == "accepted", F.col("asked"))
+        .when(F.col("verdict") == "unpriced", F.col("final_price"))
+        .otherwise(F.col("reference_value"))
     )
-    changes = _clamped(spark, sf_dir).groupBy("flight_id").agg(F.sum("validated").cast(money).alias("paid"))
-    return apply_updates(stored, changes, "flight_id", ["paid"])
+    return judged.groupBy("flight_id").agg(F.sum(after).cast("decimal(20,2)").alias("paid"))
 
 
 # --- micro-batches ---------------------------------------------------------------------------
 
 
+FILES_PER_BATCH = 64  # bounds a batch, and with it what a batch holds
+
+
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.readStream.schema(part(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet*")
+    source = spark.readStream.schema(part(spark, sf_dir, name).schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return source.parquet(f"{sf_dir}/{name}.parquet*")
 
 
 @query("ss_audit", _audit_sql("0"))
@@ -398,7 +501,7 @@ def ss_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "audit")
     audit_stream(
         changes,
-        before,
+        lambda _: before,  # an item changes once in this feed, so no batch alters what another meets
         "p_partkey",
         ITEM_COLUMNS,
         f"{folder}/rows",
@@ -412,6 +515,55 @@ def ss_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/rows").drop("batch_id")
 
 
+def _step_sql(batch: int, before: str, after: str) -> str:
+    return f"""
+    SELECT '{batch}:items:' || CAST(b.p_partkey AS VARCHAR) || ':' || b.aud_column AS aud_id, 'desk-1' AS aud_station,
+           'UPDATE' AS aud_operation, DATE '{AT.date()}' AS aud_date, '{AT.strftime("%H:%M:%S")}' AS aud_time,
+           'clerk' AS aud_username, 'items' AS aud_table, CAST(b.p_partkey AS VARCHAR) AS aud_identifier_id, b.aud_column,
+           b.v AS aud_before, a.v AS aud_after
+    FROM ({_column_rows(before)}) b JOIN ({_column_rows(after)}) a ON a.p_partkey = b.p_partkey AND a.aud_column = b.aud_column
+    WHERE a.v IS DISTINCT FROM b.v"""
+
+
+@query(
+    "ss_audit_batches",
+    """
+    WITH zero AS (
+        SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN p_name END AS p_name, p_brand, p_size,
+               CAST(p_retailprice AS DECIMAL(10,2)) AS price FROM part),
+    one AS (SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 3 = 0 THEN p_size + 1 ELSE p_size END AS p_size, price FROM zero),
+    two AS (SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 2 = 0 THEN p_size + 10 ELSE p_size END AS p_size, price FROM one)"""
+    + _step_sql(0, "zero", "one")
+    + " UNION ALL "
+    + _step_sql(1, "one", "two"),
+)
+def ss_audit_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches; the second is compared with the state that the first left."""
+    zero = _items(part(spark, sf_dir, "part"))
+    size = F.col("p_size")
+    first = zero.filter(F.col("p_partkey") % 3 == 0).withColumn("p_size", (size + 1).cast("int"))
+    one = apply_updates(zero, first, "p_partkey", ["p_size"])
+    second = one.filter(F.col("p_partkey") % 2 == 0).withColumn("p_size", (size + 10).cast("int"))
+    folder = fresh_path(spark, "audit")
+    files = 2  # of each step, and so of each batch
+    for step in (first, second):
+        step.repartition(files, "p_partkey").write.mode("append").parquet(f"{folder}/feed")
+    feed = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
+    audit_stream(
+        feed,
+        lambda batch: one if batch else zero,
+        "p_partkey",
+        ITEM_COLUMNS,
+        f"{folder}/rows",
+        f"{folder}/checkpoint",
+        "items",
+        "clerk",
+        "desk-1",
+        at=AT,
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch_id")
+
+
 @query("ss_audit_pairs", _audit_sql("0"))
 def ss_audit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes as a feed that carries both images: a projection, without any join."""

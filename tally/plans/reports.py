@@ -31,7 +31,7 @@ from tally.operators.aggregates import (
     monthly_presence_ratio,
     presence_ratio,
 )
-from tally.operators.joins import join_dim
+from tally.operators.joins import BROADCAST_BYTES, fits_broadcast, join_dim, spread_join
 from tally.operators.ranking import extremes, first_n, ranked, top_n_per_group
 
 Tables = Callable[..., DataFrame]
@@ -131,12 +131,25 @@ def departure_justified(
 
 
 def full_flights(tables: Tables, op: str = "==", only_top: int | None = None) -> DataFrame:
-    """Every flight with a flag for a plane filled exactly."""
+    """Every flight with a flag for a plane filled exactly.
+
+    The ranks start with the flights that are not full, the rows with those that are.  A full rank
+    sorts once, in the order of the rows, and moves the ranks of each part by the size of the other.
+    """
     flagged = _capacity_flags(tables, None, True, op, "1", "full_capacity")
-    placed = ranked(flagged, [F.asc("full_capacity"), F.asc("flight_id")], only_top=only_top)
+    by_key = F.asc("flight_id")
+    if only_top is not None:
+        placed = ranked(flagged, [F.asc("full_capacity"), by_key], only_top=only_top)
+        placed = placed.orderBy(F.desc("full_capacity"), F.asc("orden"))
+    else:
+        placed = ranked(flagged, [F.desc("full_capacity"), by_key])
+        full = F.col("full_capacity") == "YES"
+        sizes = placed.agg(F.count_if(full).alias("full"), F.count_if(~full).alias("others"))
+        moved = F.when(full, sizes.select("others").scalar()).otherwise(-sizes.select("full").scalar())
+        placed = placed.withColumn("orden", (F.col("orden") + moved).cast("long"))
     return placed.select(
         "orden", "year", "flight_id", "plane_id", "tickets", F.col("full_capacity").alias("full capacity")
-    ).orderBy(F.desc("full capacity"), F.asc("orden"))
+    )
 
 
 # --- revenue ---------------------------------------------------------------------------------
@@ -242,8 +255,15 @@ def _chosen_routes(
 
 
 def _tickets_per_route(tables: Tables, flights: DataFrame, routes: DataFrame, extra: Sequence[str]) -> DataFrame:
-    """Tickets per chosen route; only ids pass through the join of flights and tickets."""
-    chosen = join_dim(flights, routes.select("route_id"), "route_id", "left_semi", ["flight_id"])
+    """Tickets per chosen route; only ids pass through the join of flights and tickets.
+
+    The route table bounds the chosen ids, so it is measured in their place.
+    """
+    ids = routes.select("route_id")
+    if fits_broadcast(tables("routes", "route_id"), BROADCAST_BYTES):
+        chosen = flights.join(F.broadcast(ids), "route_id", "left_semi")
+    else:
+        chosen = spread_join(flights, ids, "route_id", "left_semi", ["flight_id"])
     return (
         chosen.join(_tickets_per_flight(tables), "flight_id")
         .groupBy("route_id", *extra)

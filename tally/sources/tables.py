@@ -17,8 +17,11 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def save(df: DataFrame, directory: str, name: str, mode: str = "errorifexists") -> None:
-    """Store a declared table; one with a date is laid out along it.
+def save(df: DataFrame, directory: str, name: str, mode: str = "errorifexists", files: int | None = None) -> None:
+    """Store a declared table; one with a date is laid out along it, in ``files`` ranges.
+
+    Without ``files`` there are ``spark.sql.shuffle.partitions`` of them at most, merged by adaptive
+    execution to its advisory size.
 
     Files then cover narrow date ranges, and the year filters of the reports skip whole files
     and row groups.  The key is part of the range, so a day with very many rows is split.
@@ -27,7 +30,8 @@ def save(df: DataFrame, directory: str, name: str, mode: str = "errorifexists")
     laid_out = df
     if name in CLUSTER_BY:
         order = [CLUSTER_BY[name], *PRIMARY_KEYS[name]]
-        laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+        laid_out = ranged.sortWithinPartitions(*order)
     laid_out.write.mode(mode).parquet(f"{directory}/{name}.parquet")
 
 

@@ -36,6 +36,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, partition by partition in its order."""
     context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)  # an error on a cluster that names none
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has written with :func:`fresh_path`; results read from it go too."""
+    folder = f"{shared_dir(spark)}/tally/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,10 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tally.plans.catalog import QUERIES
 
-QUERIES = contract.queries()
-STREAMED = {"ss_audit", "ss_audit_pairs", "ss_validate", "ss_validate_dates"}  # return what was written
+STREAMED = {"ss_audit", "ss_audit_batches", "ss_audit_pairs", "ss_validate", "ss_validate_dates"}  # return what was written
 
 
 def plan(df):
@@ -59,3 +58,21 @@ def test_scans_read_only_needed_columns(spark, small_dir):
     text = plan(QUERIES["r01"](spark, small_dir))
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
+
+
+def test_full_flights_sort_once(spark, small_dir):
+    text = plan(QUERIES["r13"](spark, small_dir))
+    assert "rangepartitioning" not in text  # the one sort is behind the stored rows
+
+
+def test_labels_use_no_bound_of_an_unjoined_table(spark, small_dir):
+    assert "row_number" not in plan(QUERIES["wn_label"](spark, small_dir))
+
+
+def test_references_of_a_child_are_one_scan(spark, small_dir):
+    from tally.plans.bindings import OrderTables
+    from tally.plans.integrity import reference_counts
+
+    refs = [("flight_id", "flights", "flight_id"), ("employee_id", "employees", "employee_id")]
+    counted = reference_counts(OrderTables(spark, small_dir), "tickets", refs)
+    assert len(re.findall(r"Scan parquet", plan(counted))) == 3
