@@ -132,21 +132,35 @@ def _classify(gram: int, trees: int, depth: int, length: int):
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) of undirected (a, b): the least node each can reach.
 
-    Every round each node takes the least label around it and then that label's label, so chains
-    halve; a round is two grouped joins and is written down.  Nothing is collected but a count.
+    In a round every node takes its least neighbour as its parent, parents are followed to their
+    roots by doubling, and the edges are moved to the roots, where most of them fall together.  All
+    of it is written down; nothing is collected but whether something is left.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{name}-edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), f"{name}-labels")
-    while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
-        near = around.agg(F.min("label").alias("near")).join(labels, "node")
-        stepped = near.select("node", F.least("near", "label").alias("label"), F.col("label").alias("was"))
-        above = labels.select(F.col("node").alias("label"), F.col("label").alias("higher"))
-        jumped = stepped.join(above, "label", "left").select("node", F.least("label", F.coalesce("higher", "label")).alias("label"), "was")
-        jumped = written(jumped, f"{name}-labels")
-        labels = jumped.drop("was")
-        if jumped.filter("label < was").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+    def tidy(pairs: DataFrame) -> DataFrame:
+        apart = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
+        return written(apart.distinct(), f"{name}-edges")
+
+    rest, rounds = tidy(edges), []
+    nodes = written(rest.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}-nodes")
+    while not rest.isEmpty():
+        both = rest.select("a", "b").union(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        root = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root"))
+        root = written(root, f"{name}-roots")
+        while True:
+            above = root.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+            jumped = written(root.join(above, "root").select("node", F.col("higher").alias("root"), (F.col("higher") != F.col("root")).alias("moved")), f"{name}-roots")
+            root = jumped.drop("moved")
+            if jumped.filter("moved").isEmpty():
+                break
+        rounds.append(root)
+        moved = rest.join(root.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
+        moved = moved.join(root.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+        rest = tidy(moved.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    found = nodes.withColumn("component", F.col("node"))
+    for root in rounds:
+        onward = root.select(F.col("node").alias("component"), "root")
+        found = found.join(onward, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return found
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[tuple]]:
