@@ -79,6 +79,11 @@ def _weekdays(tables: Tables) -> DataFrame:
     return tables("weekdays", "weekday_id", "name").withColumnRenamed("name", "weekday_name")
 
 
+def _day(as_of: datetime.date | None) -> Column:
+    """The given day, or today's in the session."""
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
 # --- load factor -----------------------------------------------------------------------------
 
 
@@ -448,7 +453,7 @@ def weekend_routes(
 # --- people ----------------------------------------------------------------------------------
 
 
-def top_customers_by_age(tables: Tables, as_of: datetime.date, n: int = 100) -> DataFrame:
+def top_customers_by_age(tables: Tables, as_of: datetime.date | None = None, n: int = 100) -> DataFrame:
     """The youngest customers with their city."""
     people = tables("customers", "customer_id", "first_name", "last_name", "birth_date", "city_state_id")
     cities = tables("cities_states", "city_state_id", "name")
@@ -457,7 +462,7 @@ def top_customers_by_age(tables: Tables, as_of: datetime.date, n: int = 100) ->
         "first_name",
         "last_name",
         "birth_date",
-        year_diff("birth_date", F.lit(as_of)).alias("current_age"),
+        year_diff("birth_date", _day(as_of)).alias("current_age"),
         "name",
     )
     return first_n(aged, [F.asc("current_age"), F.desc("birth_date"), F.asc("customer_id")], n)
@@ -525,7 +530,7 @@ def city_gender_counts(tables: Tables, years: Sequence[int], n: int = 20) -> Dat
 def top_cities_by_age_group(
     tables: Tables,
     years: Sequence[int],
-    as_of: datetime.date,
+    as_of: datetime.date | None = None,
     n: int = 3,
     by_flights: bool = False,
     bands: Sequence[tuple[int, int, str]] = AGE_BANDS,
@@ -536,7 +541,7 @@ def top_cities_by_age_group(
     ``by_flights`` breaks ties of customers by flights before the city name.
     """
     people = tables("customers", "customer_id", "birth_date", "city_state_id").select(
-        "customer_id", "city_state_id", band(year_diff("birth_date", F.lit(as_of)), bands).alias("age_group")
+        "customer_id", "city_state_id", band(year_diff("birth_date", _day(as_of)), bands).alias("age_group")
     )
     per_city = (
         _flown_per_customer(tables, years)
@@ -577,10 +582,10 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
     "r18": lambda t, **kw: zipcodes_by_employees(t, **kw),
     "r19": lambda t, year=2017, **kw: customers_by_tickets(t, year, **kw),
     "r20": lambda t, year=2017, **kw: weekend_routes(t, year, **kw),
-    "v06": lambda t, as_of, **kw: top_customers_by_age(t, as_of, **kw),
+    "v06": lambda t, as_of=None, **kw: top_customers_by_age(t, as_of, **kw),
     "v07": lambda t, years=(2016, 2017), **kw: top_routes_by_weekday(t, years, **kw),
     "v08": lambda t, years=(2016, 2017), **kw: city_gender_counts(t, years, **kw),
-    "v09": lambda t, as_of, years=(2016, 2017), **kw: top_cities_by_age_group(t, years, as_of, **kw),
+    "v09": lambda t, as_of=None, years=(2016, 2017), **kw: top_cities_by_age_group(t, years, as_of, **kw),
 }
 
 VIEWS = {

@@ -402,6 +402,8 @@ def test_youngest_customers(spark):
     assert [r[0] for r in got] == [5, 2, 3, 1, 4]
     assert [r[4] for r in got] == [None, 21, 21, 21, 22]
     assert len(plain(REPORTS["v06"](t, as_of=d("2021-01-01"), n=2))) == 2
+    today = spark.sql("SELECT current_date()").first()[0]
+    assert plain(REPORTS["v06"](t)) == plain(REPORTS["v06"](t, as_of=today))
 
 
 @pytest.fixture(scope="module")
