@@ -5,11 +5,14 @@ of a text is the sequence of their identifiers, in text order; a rule names iden
 occur in that order.  Unknown sentences between them do not matter.
 
 Line ends are ambiguous: they end a sentence in a list of lines and mean nothing in wrapped text.
-Both readings are made, and the licences of both are reported.
+Both readings are made.  Notices mix the two: a title, a copyright line or a URL stands above wrapped
+sentences.  So a third reading takes every known sentence that begins and ends at a sentence end, a
+line end or a blank line, and may be wrapped within.  The licences of all three are reported.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +32,7 @@ SENTENCES: dict[str, str] = {
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit-as-is": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-grant-and": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
@@ -42,6 +46,16 @@ SENTENCES: dict[str, str] = {
     "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
     "lgpl-library": "this library is free software",
+    "gpl-published": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "lgpl-published": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "lgpl2-published": "you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation",
+    "agpl-published": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "gnu-2-or-later": "either version 2 of the license or at your option any later version",
+    "gnu-21-or-later": "either version 2.1 of the license or at your option any later version",
+    "gnu-3-or-later": "either version 3 of the license or at your option any later version",
+    "lgpl2-terms": "you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl21-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",
+    "lgpl3-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "agpl3-terms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "mpl2-subject": "this source code form is subject to the terms of the mozilla public license v 2.0",
     "mpl2-copy": "if a copy of the mpl was not distributed with this file you can obtain one at http",
@@ -53,6 +67,7 @@ SENTENCES: dict[str, str] = {
     "cc-by-sa-4-long": "this work is licensed under a creative commons attribution sharealike 4.0 international license",
     "cc-by-nc-4-long": "this work is licensed under a creative commons attribution noncommercial 4.0 international license",
     "cc0-dedicated": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+    "cc0-authors": "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
     "unlicense-public": "this is free and unencumbered software released into the public domain",
 }
 
@@ -64,14 +79,26 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit-licensed",)),
     ("MIT", ("mit-grant", "mit-notice", "mit-as-is")),
     ("ISC", ("isc-grant", "isc-as-is")),
+    ("ISC", ("isc-grant-and", "isc-as-is")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("GPL-2.0", ("gpl2-licensed",)),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-terms")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-published", "gnu-2-or-later")),
     ("GPL-3.0", ("gpl3-short",)),
     ("GPL-3.0", ("gpl3-licensed",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-terms")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-published", "gnu-3-or-later")),
     ("AGPL-3.0-or-later", ("gpl-free", "agpl3-terms")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-published", "gnu-3-or-later")),
+    ("LGPL-2.0-or-later", ("lgpl-library", "lgpl2-terms")),
+    ("LGPL-2.0-or-later", ("lgpl-library", "lgpl2-published", "gnu-2-or-later")),
+    ("LGPL-2.1-or-later", ("lgpl-library", "lgpl21-terms")),
+    ("LGPL-2.1-or-later", ("lgpl-library", "lgpl-published", "gnu-21-or-later")),
+    ("LGPL-3.0-or-later", ("lgpl-library", "lgpl3-terms")),
+    ("LGPL-3.0-or-later", ("lgpl-library", "lgpl-published", "gnu-3-or-later")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl3-terms")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl-published", "gnu-3-or-later")),
     ("MPL-2.0", ("mpl2-subject", "mpl2-copy")),
     ("MPL-2.0", ("mpl2-licensed",)),
     ("CC-BY-4.0", ("cc-by-4",)),
@@ -81,6 +108,7 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-long",)),
     ("CC0-1.0", ("cc0-dedicated",)),
+    ("CC0-1.0", ("cc0-authors",)),
     ("Unlicense", ("unlicense-public",)),
 ]
 
@@ -90,10 +118,20 @@ NOISE = r"[^\p{L}\p{N}.!?;:\n]+"
 ENDS = r"[.!?;:]+([ \n]+|$)"
 ENDS_OR_LINE = r"[.!?;:]+([ \n]+|$)|\n"
 
+#: Where a known sentence may begin and end in the mixed reading, and what may stand between its words:
+#: a line end, but no blank line.
+BEGIN = r"(?:^|\n|[.!?;:][ \n]) ?"
+END = r"(?= ?(?:$|\n|[.!?;:]+(?:[ \n]|$)))"
+WRAP = r"(?: ?\n ?| )"
+
+
+def _flat(text: Column) -> Column:
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOISE, " ")
+
 
 def sentences(text: Column, by_line: bool) -> Column:
     """Normalised sentences in text order; a null text has none."""
-    flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOISE, " ")
+    flat = _flat(text)
     if by_line:
         parts = F.split(flat, ENDS_OR_LINE)
     else:
@@ -101,6 +139,21 @@ def sentences(text: Column, by_line: bool) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")
 
 
+def _wrapped(said: str) -> str:
+    """A known sentence as a pattern; the dot of ``v.`` ends nothing, and http stands for https too."""
+    words = [re.escape(w) for w in said.split(" ")]
+    words = [r"v\.?" if w == "v" else w for w in words]
+    return WRAP.join(words) + ("s?" if words[-1] == "http" else "")
+
+
+def mixed_sentences(text: Column, known: Mapping[str, str]) -> Column:
+    """The known sentences in text order that begin and end at any boundary, wrapped or not."""
+    longest_first = sorted(known.values(), key=len, reverse=True)
+    found = F.regexp_extract_all(_flat(text), F.lit(f"{BEGIN}({'|'.join(map(_wrapped, longest_first))}){END}"), F.lit(1))
+    bare = lambda s: F.regexp_replace(F.regexp_replace(s, r"(?<=\bv)\.|(?<=\bhttp)s$", ""), r"[ \n]+", " ")
+    return F.transform(found, bare)
+
+
 def pattern(steps: Sequence[str]) -> str:
     """A rule as a pattern over ``|a|b|c|``."""
     return r"\|" + r"\|(.*\|)?".join(steps) + r"\|"
@@ -122,10 +175,11 @@ def license_scan(
     known: Mapping[str, str] = SENTENCES,
     rules: Sequence[tuple[str, Sequence[str]]] = tuple(RULES),
 ) -> DataFrame:
-    """(doc_id, n_sentences, line_ids, wrapped_ids, licenses), one row a document.
+    """(doc_id, n_sentences, line_ids, wrapped_ids, mixed_ids, licenses), one row a document.
 
-    ``line_ids`` and ``wrapped_ids`` are the identifiers found reading by lines and reading wrapped
-    text, in text order; ``licenses`` the sorted licences whose rules either meets.  A null or
+    ``line_ids``, ``wrapped_ids`` and ``mixed_ids`` are the identifiers found reading by lines,
+    reading wrapped text and reading both at once, in text order; ``licenses`` the sorted licences
+    whose rules any of them meets.  A null or
     empty text has no sentence.  Repeated rows and null ids stay; other columns are ignored.
 
     One pass, no shuffle: the known sentences and rules are constants of the plan.
@@ -134,12 +188,14 @@ def license_scan(
         F.col("doc_id").cast("long").alias("doc_id"),
         sentences(F.col("text"), True).alias("lines"),
         sentences(F.col("text"), False).alias("wrapped"),
+        mixed_sentences(F.col("text"), known).alias("mixed"),
     )
     found = parts.select(
         "doc_id",
         F.size("lines").cast("long").alias("n_sentences"),
         _sequence("lines", known).alias("line_ids"),
         _sequence("wrapped", known).alias("wrapped_ids"),
+        _sequence("mixed", known).alias("mixed_ids"),
     )
-    both = F.array_union(_licences(F.col("line_ids"), rules), _licences(F.col("wrapped_ids"), rules))
-    return found.withColumn("licenses", F.sort_array(F.array_distinct(both)))
+    readings = [_licences(F.col(c), rules) for c in ("line_ids", "wrapped_ids", "mixed_ids")]
+    return found.withColumn("licenses", F.sort_array(F.array_distinct(F.concat(*readings))))
