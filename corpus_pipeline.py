@@ -28,9 +28,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; ``n_chars`` follows the text."""
-    cleaned = drop_frequent_lines(docs)
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+    """Boilerplate lines of a source go, and documents that were nothing else; ``n_chars`` follows the text.
+
+    Copies of a text count once: they are for the next stage to drop, not to lose their text here.
+    """
+    cleaned = drop_frequent_lines(docs, copies_once=True)
+    emptied = (F.col("n_dropped") > 0) & ~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
+    return cleaned.filter(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

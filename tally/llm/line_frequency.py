@@ -35,16 +35,25 @@ def _site(site: Column) -> Column:
     return F.when(site.isNull(), F.lit("none")).otherwise(F.concat(F.lit("s:"), site.cast("string")))
 
 
-def line_frequencies(docs: DataFrame, site: str = "source") -> DataFrame:
-    """(site_key, name, pages, total): in how many of a site's pages each line occurs."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), _bare), lambda line: line != "")
-    pages = docs.select(_site(F.col(site)).alias("site_key"), F.array_distinct(F.transform(lines, _name)).alias("names"))
+def line_frequencies(docs: DataFrame, site: str = "source", copies_once: bool = False) -> DataFrame:
+    """(site_key, name, pages, total): in how many of a site's pages each line occurs.
+
+    With ``copies_once`` the rows of a site that have the same text are one page.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = F.filter(F.transform(F.split(text, "\n"), _bare), lambda line: line != "")
+    pages = docs.select(
+        _site(F.col(site)).alias("site_key"), _name(text).alias("page"), F.array_distinct(F.transform(lines, _name)).alias("names")
+    )
+    if copies_once:
+        pages = pages.groupBy("site_key", "page").agg(F.first("names").alias("names"))  # copies meet before the shuffle
+        pages = written(pages, "distinct-pages")
     counted = (
         pages.select("site_key", F.explode("names").alias("name"))
         .groupBy("site_key", "name")
         .agg(F.count("*").alias("pages"))
     )
-    totals = docs.groupBy(_site(F.col(site)).alias("site_key")).agg(F.count("*").alias("total"))
+    totals = pages.groupBy("site_key").agg(F.count("*").alias("total"))
     return join_dim(counted, totals, "site_key")
 
 
@@ -54,20 +63,22 @@ def drop_frequent_lines(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     limit: int = BROADCAST_BYTES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``text`` cleaned, ``n_lines`` and ``n_dropped``.
 
     A line goes if it is on more than ``ratio`` of its site's pages and on ``least_pages`` or more.
     Lines are compared without the white space around them; lines without text are neither counted
     nor dropped.  A null site is one site.  A null text stays null and counts as a page.  A text
-    all of whose lines go becomes empty; the row stays.  Repeated rows are pages of their own.
-    Columns named like the two counts are replaced, others kept.
+    all of whose lines go becomes empty; the row stays.  Repeated rows are pages of their own, unless ``copies_once`` counts the same text
+    on a site as one page, so that a text is not boilerplate because it was copied.  Columns named
+    like the two counts are replaced, others kept.
     """
     made = ["n_lines", "n_dropped"]
     columns = [c for c in docs.columns if c not in made]
     held = {f"in{i}": c for i, c in enumerate(columns)}  # so that no name of the input can clash
     frequent = (
-        line_frequencies(docs, site)
+        line_frequencies(docs, site, copies_once)
         .filter((F.col("pages") > F.col("total") * F.lit(float(ratio))) & (F.col("pages") >= least_pages))
         .groupBy("site_key")
         .agg(F.collect_list("name").alias("frequent"))
