@@ -244,7 +244,8 @@ def token_counts(docs: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS) ->
 
     Texts of up to ``chunk_chars`` characters are counted where they are read.  Longer ones are
     cut, their chunks dealt over all tasks, and only the chunks' state maps are brought together
-    (the work of a text of any length is spread; what is combined is a few words a chunk).
+    (the work of a text of any length is spread; what is combined is a few words a chunk, in one
+    task a text.  A chunk without an ASCII space is its own map and is gathered whole).
 
     Null and empty texts have no bytes and no tokens.  Repeated rows stay repeated, also under one
     doc_id; a null doc_id is kept.  An empty table gives no rows.  Other columns are ignored.
