@@ -31,8 +31,3 @@ def spark():
 @pytest.fixture(scope="session")
 def small_dir():
     return f"{TESTDATA}/sf0.001"
-
-
-def rows(df):
-    """Rows as sorted tuples, NULLs first."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])

@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from conftest import rows
+from frames import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import datetime
 
 import pytest
 from booking import CITIES, WEEKDAYS, d, money
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tally.plans.integrity import declared_checks

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 from booking import CITIES, HandMade, d, money
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tally.operators.quality import (

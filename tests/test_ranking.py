@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tally.operators import ranking

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 from booking import CITIES, WEEKDAYS, HandMade, d, money, tickets
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tally.plans import reports

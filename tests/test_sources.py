@@ -2,7 +2,7 @@ import os
 
 import pytest
 from booking import d, money
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 from booking import d
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tally.operators.changes import apply_updates, audit_changes, audit_pairs
