@@ -1,12 +1,7 @@
-import os
-import sys
-
 import duckdb
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 TABLES = "documents pages benchmark labels conversations".split()
 

@@ -1,6 +1,6 @@
 """Line dedup of the pipeline where one text is copied very often."""
 
-import brute
+import llm_brute as brute
 import corpus_pipeline
 
 from tally.llm.line_frequency import drop_frequent_lines

@@ -1,6 +1,6 @@
 """Quality rules and the toxicity chain."""
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F

@@ -2,7 +2,7 @@
 
 import random
 
-import brute
+import llm_brute as brute
 import pytest
 from pyspark.sql import functions as F
 

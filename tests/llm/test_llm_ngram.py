@@ -1,6 +1,6 @@
 import random
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pytest
 

@@ -1,6 +1,6 @@
 """The pipeline against its stages done plainly, one after another."""
 
-import brute
+import llm_brute as brute
 import corpus_pipeline
 
 from tally.llm import quality
