@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.llm.bisector import centroid_digests, cluster_vectors
+from tally.llm.bit_slices import top_k
 from tally.llm.chat import format_conversations, linear_trees, loss_text, read_back
+from tally.llm.collocations import collocations
 from tally.llm.decontamination import decontaminated
 from tally.llm.html_main import extract_main
 from tally.llm.licenses import ENDS, ENDS_OR_LINE, NOISE, RULES, SENTENCES, license_scan, pattern
@@ -274,3 +277,100 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.length("formatted").cast("long").alias("formatted_chars"),
         )
     )
+
+
+def _op11_sql(rounds: int = 3) -> str:
+    """Centroids, assignment and means written out once a round."""
+    steps = ["""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::double))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || coalesce(vec_id::varchar, '')) AS h, v FROM kept ORDER BY h, v LIMIT 16)
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT rid, c, d FROM (
+    SELECT rid, c, list_sum(list_transform(list_zip(k.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint AS d FROM kept k, c{i})
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1
+)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (
+  SELECT c, list(((s - ((s % n + n) % n)) // n)::bigint ORDER BY at) AS v FROM (
+    SELECT c, at, sum(x) AS s, count(*) AS n
+    FROM (SELECT c, unnest(range(64)) AS at, unnest(v) AS x FROM a{i} JOIN kept USING (rid)) GROUP BY c, at) GROUP BY c
+), c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, a.c::int AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::bigint AS cluster_inertia,
+  (sum(a.d) OVER ())::bigint AS inertia, sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (rid) JOIN c{rounds} z ON a.c = z.c"""
+
+
+@query(_op11_sql())
+def op11_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digests = F.array(*[F.lit(d) for d in centroid_digests(centroids)]).cast("array<string>")
+    return members.withColumn("centroid_sha256", F.element_at(digests, F.col("cluster") + 1))
+
+
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS w
+  FROM documents
+), found AS MATERIALIZED (
+  SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size)
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::hugeint AS n FROM found WHERE size = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM found WHERE size > 1 AND f >= 100
+), cuts AS (
+  SELECT *, array_to_string(list_slice(w, 1, k), ' ') AS head, array_to_string(list_slice(w, k + 1, size), ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, n, (1000::hugeint * a * n) // (x.f::hugeint * y.f) AS score
+  FROM cuts c JOIN found x ON x.lang = c.lang AND x.phrase = head AND x.size = k
+    JOIN found y ON y.lang = c.lang AND y.phrase = tail AND y.size = c.size - k JOIN totals t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS m FROM candidates))
+), free AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.a >= 100 * s.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::bigint AS a, l::bigint AS l, r::bigint AS r, n::bigint AS n, score::bigint AS score
+FROM free QUALIFY rank <= 2000
+"""
+
+
+@query(_OP12)
+def op12_pair_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+_OP13 = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::double))) = 0
+), met AS (
+  SELECT q.rid AS query, q.vec_id::bigint AS query_id, k.vec_id::bigint AS vec_id, k.rid,
+    coalesce(list_sum(list_transform(list_zip(q.v, k.v), lambda p: p[1] * p[2])), 0)::bigint AS score
+  FROM kept q JOIN kept k ON q.rid <> k.rid WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST, rid)::int AS rank, vec_id, score
+FROM met QUALIFY rank <= 10
+"""
+
+
+@query(_OP13)
+def op13_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
