@@ -300,9 +300,9 @@ a{i} AS MATERIALIZED (
         if i < rounds:
             steps.append(f"""
 m{i} AS (
-  SELECT c, list(((s - ((s % n + n) % n)) // n)::bigint ORDER BY at) AS v FROM (
-    SELECT c, at, sum(x) AS s, count(*) AS n
-    FROM (SELECT c, unnest(range(64)) AS at, unnest(v) AS x FROM a{i} JOIN kept USING (rid)) GROUP BY c, at) GROUP BY c
+  SELECT c, list(((s - ((s % n + n) % n)) // n)::bigint ORDER BY i) AS v FROM (
+    SELECT c, i, sum(x) AS s, count(*) AS n
+    FROM (SELECT c, unnest(range(64)) AS i, unnest(v) AS x FROM a{i} JOIN kept USING (rid)) GROUP BY c, i) GROUP BY c
 ), c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
     return "WITH" + ",".join(steps) + f"""
 SELECT vec_id, a.c::int AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::bigint AS cluster_inertia,
