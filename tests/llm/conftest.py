@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="session")

@@ -43,13 +43,16 @@ def odd_dir(spark, tmp_path_factory):
     turns = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (1, 2, "assistant", "b </turn>\n<turn>"), (None, 0, "assistant", "\\b\\l")]
     turns += [(2, i, "assistant" if i % 2 else "user", f"t{i} \\g <x>") for i in range(67)]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    vectors = [(i, [((i * 7 + j * 3) % 11 - 5) / 8 for j in range(64)], 0) for i in range(60)] + [(4, [0.5] * 64, 1)] * 30
+    vectors += [(100, None, 0), (200, [0.1] * 63, 0), (300, [None] * 64, 0), (None, [0.3] * 64, 0), (400, [0.5] * 64, 0), (400, [0.5] * 64, 0)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql_on_odd_rows(spark, odd_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{odd_dir}/{table}.parquet/*.parquet'")
     found, expected = plain(QUERIES[name](spark, odd_dir).toPandas()), plain(con.execute(ORACLES[name]).df())
     assert found == expected
@@ -57,6 +60,6 @@ def test_query_matches_sql_on_odd_rows(spark, odd_dir, name):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_of_empty_tables(spark, small_dir, tmp_path, name):
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         spark.read.parquet(f"{small_dir}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == (1 if name.startswith("op10_") else 0)

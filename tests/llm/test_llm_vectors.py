@@ -1,0 +1,161 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tally.llm.bisector import Tournament, centroid_digests, cluster_vectors
+from tally.llm.bit_slices import SlicedBlock, add_bitmaps, at_least, kth_greatest, powers, top_k
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def whole(v, size=None):
+    return v is not None and (size is None or len(v) == size) and all(x is not None and math.isfinite(x) for x in v)
+
+
+def plain_clusters(rows, dims, scale, k, rounds):
+    kept = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v in rows if whole(v, dims)]
+    named = sorted((hashlib.sha256(f"1:{'' if i is None else i}".encode()).hexdigest(), v) for i, v in kept)
+    centroids = [v for _, v in named[:k]]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    nearest = lambda v: min(range(len(centroids)), key=lambda c: (apart(v, centroids[c]), c))
+    for _ in range(rounds):
+        own = [[v for _, v in kept if nearest(v) == c] for c in range(len(centroids))]
+        centroids = [[sum(col) // len(vs) for col in zip(*vs)] if vs else old for vs, old in zip(own, centroids)]
+    return [(i, c, apart(v, centroids[c])) for i, v in kept for c in [nearest(v)]], centroids
+
+
+def odd_vectors(dims, n=300, spread=1.0, seed=1):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, spread) for _ in range(dims)]) for i in range(n)]
+    rows += [(n + i, rows[3][1]) for i in range(150)] + [rows[5]] * 40  # a very common vector, repeated rows
+    rows += [(900, None), (901, []), (902, [0.5] * (dims - 1)), (903, [0.5] * (dims + 1)), (904, [None] + [0.1] * (dims - 1))]
+    rows += [(905, [float("nan")] * dims), (906, [float("inf")] + [0.0] * (dims - 1)), (None, [0.25] * dims), (None, [0.0] * dims)]
+    return rows + [(907, [-0.0] * dims), (-4, [1.0] * dims), (1000, rows[0][1]), (1100, [-1.0] * dims)]
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    return lambda rows: spark.createDataFrame([(i, v, 1) for i, v in rows], VECTORS)
+
+
+@pytest.mark.parametrize("dims, scale, k, rounds", [(64, 64, 16, 3), (3, 4, 5, 4), (2, 1, 40, 2)])
+def test_clusters_like_brute_force(vectors, dims, scale, k, rounds):
+    rows = odd_vectors(dims, n=120)
+    df = vectors(rows).selectExpr("*", "'c' AS cluster", "1 AS place", "2 AS total", "3 AS distance").repartition(5)
+    members, centroids = cluster_vectors(df, dimensions=dims, scale=scale, centroids=k, rounds=rounds)
+    expected, plain = plain_clusters(rows, dims, scale, k, rounds)
+    found = members.collect()
+    assert centroids == plain
+    assert sorted([(r.vec_id, r.cluster, r.distance) for r in found], key=str) == sorted(expected, key=str)
+    for r in found:
+        assert r.cluster_inertia == sum(d for _, c, d in expected if c == r.cluster)
+        assert r.inertia == sum(d for *_, d in expected)
+    assert len(centroid_digests(centroids)[0]) == 64
+
+
+def test_fewer_vectors_than_centroids(vectors):
+    members, centroids = cluster_vectors(vectors([(1, [0.5] * 4), (2, [0.25] * 4), (3, None)]), dimensions=4, rounds=2)
+    assert len(centroids) == 2 and {r.distance for r in members.collect()} == {0}
+
+
+def test_no_vectors(vectors):
+    for rows in ([], [(1, None), (2, [1.0])]):
+        members, centroids = cluster_vectors(vectors(rows))
+        assert members.count() == 0 and centroids == []
+        assert members.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia"]
+
+
+def test_ties_stay_with_the_smaller_number():
+    plane = Tournament([[0, 0], [2, 0], [0, 2], [0, 0]])
+    assert plane.nearest(np.array([[1, 0], [1, 1], [0, 1], [0, 0], [3, 3]]))[0].tolist() == [0, 0, 0, 0, 1]
+
+
+def test_large_components_are_exact(spark):
+    far = 2.0**40
+    rows = [(i, [far * (i % 3), float(i)]) for i in range(9)] + [(50, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    members, centroids = cluster_vectors(df, dimensions=2, scale=1, centroids=3, rounds=2)
+    found = {r.vec_id: r for r in members.collect()}
+    assert len(found) == 10 and all(abs(v) <= 2**62 for c in centroids for v in c)
+    assert all(r.inertia is None for r in found.values()) or all(r.distance is not None for r in found.values())
+
+
+def plain_top(rows, k, every, scale=1024):
+    kept = [(n, i, [math.floor(scale * float(np.float32(x))) for x in v]) for n, (i, v) in enumerate(rows) if whole(v)]
+    out = []
+    for n, i, q in kept:
+        if i is not None and i % every == 0:
+            scored = [(-sum(a * b for a, b in zip(q, v)), j is None, j or 0, m) for m, j, v in kept if m != n]
+            out += [(i, rank, None if none else j, -s) for rank, (s, none, j, _) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [{}, {"slices": 1}, {"slices": 3, "block_values": 640}, {"cell_rows": 90, "cell_queries": 2, "block_values": 200}, {"slices": 40}],
+)
+def test_top_k_like_brute_force(vectors, settings):
+    rows = odd_vectors(8, spread=0.125)
+    df = vectors(rows).selectExpr("*", "1 AS row", "2 AS asks", "3 AS cell", "4 AS score", "5 AS query", "6 AS x").repartition(4)
+    found = top_k(df, F.col("vec_id") % 50 == 0, k=6, **settings)
+    assert sorted(map(tuple, found.collect()), key=str) == plain_top(rows, 6, 50)
+
+
+def test_fewer_candidates_than_k(vectors):
+    found = top_k(vectors([(0, [1.0]), (1, [2.0, 5.0]), (2, None), (3, [])]), F.col("vec_id") == 0).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 1, 1024 * 2048), (0, 2, 3, 0)]
+    assert top_k(vectors([]), F.col("vec_id") == 0).count() == 0
+    assert top_k(vectors([(5, [1.0])]), F.col("vec_id") == 5).count() == 0
+    assert top_k(vectors([(5, [1.0]), (6, [1.0])]), F.col("vec_id") == 7).count() == 0
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = [(0, [2.0**40, 2.0**40]), (1, [2.0**40, -(2.0**40)]), (2, [2.0**40, 1.0]), (3, [-(2.0**40)] * 2), (4, [1.0, 0.0]), (5, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(df, F.col("vec_id") == 0, k=5).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [2, 5, 4, 1, 3]
+    assert [r.score for r in found] == [2**63 - 1, 2**63 - 1, 2**60, 0, -(2**63)]
+
+
+def test_numbers_as_signed_powers():
+    values = np.array([0, 1, -1, 3, 7, -6, 1023, -512, 2**61, -(2**62) + 5])
+    made = np.zeros(len(values), dtype=object)
+    for power, plus, minus in powers(values):
+        made[plus] += 1 << power
+        made[minus] -= 1 << power
+    assert made.tolist() == values.tolist()
+
+
+def test_bitmaps_add_up():
+    rng = np.random.default_rng(3)
+    stacks = {w: [rng.integers(0, 2**64, (n, 3), dtype=np.uint64)] for w, n in ((0, 5), (1, 1), (3, 8), (7, 2))}
+    bit = lambda rows: np.unpackbits(np.ascontiguousarray(rows).view(np.uint8), axis=-1, bitorder="little").astype(int)
+    expected = sum(bit(s[0]).sum(axis=0) << w for w, s in stacks.items())
+    summed = add_bitmaps(stacks, 3)
+    found = sum(bit(b) << w for w, b in enumerate(summed))
+    assert (found == expected).all()
+    among = np.full(3, 2**64 - 1, np.uint64)
+    ordered = np.sort(expected)[::-1]
+    for k in (1, 2, 50, 192):
+        assert kth_greatest(summed, among, k) == ordered[k - 1]
+        assert bit(at_least(summed, among, int(ordered[k - 1]))).sum() == (expected >= ordered[k - 1]).sum()
+    assert kth_greatest(summed, among, 193) is None and not at_least(summed, among, 2**20).any()
+
+
+def test_a_block_keeps_every_possible_row():
+    from tally.llm.bit_slices import Query
+
+    rng = np.random.default_rng(4)
+    values = rng.integers(-500, 500, (1000, 16))
+    query = Query(-1, 0, rng.integers(-500, 500, 16), 16)
+    scores = values @ query.values
+    best = set(np.argsort(-scores, kind="stable")[:10].tolist())
+    for slices in (1, 4, 7, 12):
+        found = SlicedBlock(values, slices).candidates(query, 10, -(2**200))
+        assert best <= set(found.tolist())
+        if slices >= 7:
+            assert len(found) < 120
