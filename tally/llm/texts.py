@@ -38,10 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` computed once, kept as parquet in the cluster's shared folder and read back."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
