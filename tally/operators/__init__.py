@@ -4,6 +4,8 @@ from tally.operators.aggregates import (
     monthly_presence_ratio,
     presence_ratio,
 )
+from tally.operators.asof import join_asof
+from tally.operators.bitmaps import check_reference_ids, check_unique_ids, count_ids, id_bitmaps, merge_bitmaps
 from tally.operators.changes import (
     apply_updates,
     audit_changes,
@@ -13,6 +15,8 @@ from tally.operators.changes import (
     pair_images,
     replay,
 )
+from tally.operators.digests import differing
+from tally.operators.intervals import semi_intervals
 from tally.operators.joins import (
     fits_broadcast,
     hot_keys,
@@ -34,7 +38,9 @@ from tally.operators.quality import (
     clamp_to_reference,
     fill_defaults,
     judge_against_reference,
+    judge_as_of,
     orphans,
+    settle,
     tolerance_summary,
     valid_on,
 )
@@ -49,23 +55,31 @@ __all__ = [
     "check_length_bounds",
     "check_max_length",
     "check_not_null",
+    "check_reference_ids",
     "check_references",
     "check_rules",
     "check_unique",
+    "check_unique_ids",
     "clamp_to_reference",
     "classify",
     "conditional_counts",
+    "count_ids",
     "counts_per_outer",
+    "differing",
     "extremes",
     "fill_defaults",
     "first_n",
     "fits_broadcast",
     "hot_keys",
+    "id_bitmaps",
+    "join_asof",
     "join_dim",
     "join_one",
     "judge_against_reference",
+    "judge_as_of",
     "latest_per_key",
     "lookup",
+    "merge_bitmaps",
     "monthly_presence_ratio",
     "orphans",
     "pair_images",
@@ -73,7 +87,9 @@ __all__ = [
     "rank_all",
     "ranked",
     "replay",
+    "semi_intervals",
     "semi_theta",
+    "settle",
     "spread_join",
     "tolerance_summary",
     "top_n_per_group",

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.joins import only_one
+from tally.operators.digests import differing
+from tally.operators.joins import join_dim, only_one
 from tally.schemas import AUDIT
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -55,10 +56,19 @@ def audit_changes(
     station: str,
     at: datetime.datetime,
     batch: str = "0",
+    digests: bool = False,
 ) -> DataFrame:
-    """Audit rows for the difference of two images; see :func:`audit_pairs`."""
+    """Audit rows for the difference of two images; see :func:`audit_pairs`.
+
+    With ``digests`` the images are compared by digests first (:func:`differing`) and only rows that differ are
+    paired: for large stored images of which little has changed.  A second row of a key is then found
+    only where its range differs.
+    """
     wanted = list(dict.fromkeys([*_key_list(key), *cols]))
-    paired = pair_images(before.select(*wanted), after.select(*wanted), key)
+    before, after = before.select(*wanted), after.select(*wanted)
+    if digests:
+        before, after = differing(before, after, key)
+    paired = pair_images(before, after, key)
     return audit_pairs(paired, key, cols, table, user, station, at, batch)
 
 
@@ -137,18 +147,20 @@ def apply_updates(
     key: str | Sequence[str],
     cols: Sequence[str],
     order: Column | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """``target`` with ``cols`` taken from the matching change.
 
     The rows of ``target`` are those that come out, never more.  Several changes of one key need
     ``order``, of which the last counts; without it, a row that meets two changes is an error.  A
-    change to NULL is a change.  Keys unknown to ``target`` are ignored.
+    change to NULL is a change.  Keys unknown to ``target`` are ignored.  Changes that measure small are
+    broadcast, otherwise hot keys of ``target`` are split; :class:`tally.sources.StoredTable` updates stored files.
     """
     keys = _key_list(key)
     if order is not None:
         changes = latest_per_key(changes, keys, order)
     new = changes.groupBy(*keys).agg(F.any_value(F.struct(*cols)).alias("_new"), F.count("*").alias("_found"))
-    joined = only_one(target.join(new, keys, "left"), "_found", keys)
+    joined = only_one(join_dim(target, new, keys, "left", limit=limit), "_found", keys)
     return joined.select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new")[name]).otherwise(F.col(name)).alias(name)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions import trimmed_length
+from tally.operators.asof import join_asof
 from tally.operators.joins import Hot, join_dim, join_one
 
 ACCEPTED, REJECTED, CLAMPED, UNPRICED, EMPTY = "accepted", "rejected", "clamped", "unpriced", "empty"
@@ -119,20 +120,40 @@ def judge_against_reference(
 
     A second ``ref`` row for a key is an error (see :func:`check_unique`, :func:`valid_on`).
     """
-    listed = ref.select(
-        *keys,
-        F.col(ref_value).alias("reference_value"),
-        (F.col(ref_value) * F.lit(Decimal(1) - pct)).alias("_low"),
-        (F.col(ref_value) * F.lit(Decimal(1) + pct)).alias("_high"),
-    )
+    listed = ref.select(*keys, F.col(ref_value).alias("reference_value"))
+    return _judged(join_one(changes, listed, keys, spread_by, limit, hot_from), value, pct)
+
+
+def judge_as_of(
+    changes: DataFrame,
+    ref: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ref_value: str,
+    pct: Decimal,
+    at: str,
+    start: str = "start_date",
+    end: str | None = "end_date",
+    limit: int | None = None,
+) -> DataFrame:
+    """:func:`judge_against_reference` for dated references: each change meets the one in force at its own ``at``.
+
+    See :func:`tally.operators.join_asof`; a change on a day without a reference is unpriced.
+    """
+    joined = join_asof(changes, ref, keys, at, start, {ref_value: "reference_value"}, end, limit)
+    return _judged(joined, value, pct)
+
+
+def _judged(joined: DataFrame, value: str, pct: Decimal) -> DataFrame:
+    reference = F.col("reference_value")
+    low, high = reference * F.lit(Decimal(1) - pct), reference * F.lit(Decimal(1) + pct)
     verdict = (
-        F.when(F.col("reference_value").isNull(), UNPRICED)
+        F.when(reference.isNull(), UNPRICED)
         .when(F.col(value).isNull(), EMPTY)
-        .when(F.col(value).between(F.col("_low"), F.col("_high")), ACCEPTED)
+        .when(F.col(value).between(low, high), ACCEPTED)
         .otherwise(CLAMPED)
     )
-    joined = join_one(changes, listed, keys, spread_by, limit, hot_from)
-    return joined.withColumn("verdict", verdict).drop("_low", "_high")
+    return joined.withColumn("verdict", verdict)
 
 
 def clamp_to_reference(
@@ -153,6 +174,11 @@ def clamp_to_reference(
     ``reject`` leaves the row out.  Rows without a reference are dropped under both.
     """
     judged = judge_against_reference(changes, ref, keys, value, ref_value, pct, spread_by, limit, hot_from)
+    return settle(judged, value, policy)
+
+
+def settle(judged: DataFrame, value: str, policy: str = "clamp_to_list") -> DataFrame:
+    """Judged changes with ``validated``; see :func:`clamp_to_reference`."""
     if policy == "reject":
         kept = judged.filter(F.col("verdict") == ACCEPTED)
     elif policy == "clamp_to_list":
@@ -160,7 +186,7 @@ def clamp_to_reference(
     else:
         raise ValueError(f"unknown policy {policy!r}")
     validated = F.when(F.col("verdict") == ACCEPTED, F.col(value)).otherwise(F.col("reference_value"))
-    return kept.withColumn("validated", validated.cast(changes.schema[value].dataType))
+    return kept.withColumn("validated", validated.cast(judged.schema[value].dataType))
 
 
 def tolerance_summary(judged: DataFrame) -> DataFrame:

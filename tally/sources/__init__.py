@@ -1,4 +1,17 @@
+from tally.sources.commits import CommitLog, Conflict
 from tally.sources.insert_text import import_dump, read_insert_dump, write_insert_dump
+from tally.sources.stored import StoredTable
 from tally.sources.tables import ParquetTables, append, load, save
 
-__all__ = ["ParquetTables", "append", "import_dump", "load", "read_insert_dump", "save", "write_insert_dump"]
+__all__ = [
+    "CommitLog",
+    "Conflict",
+    "ParquetTables",
+    "StoredTable",
+    "append",
+    "import_dump",
+    "load",
+    "read_insert_dump",
+    "save",
+    "write_insert_dump",
+]
