@@ -13,6 +13,7 @@ dealt over the ranges by hash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +45,8 @@ def _key_range(before: DataFrame, after: DataFrame, keys: Sequence[str], rows_pe
     ranges = min(most, max(r[2] for r in found) // rows_per_range + 1)
     width = max(1, -(-(max(highs) - min(lows) + 1) // ranges))
     # as decimals, for keys at both ends of the long range
-    apart = F.col(keys[0]).cast("decimal(20,0)") - F.lit(min(lows)).cast("decimal(20,0)")
-    return F.call_function("div", apart, F.lit(width).cast("decimal(20,0)"))
+    apart = F.col(keys[0]).cast("decimal(20,0)") - F.lit(Decimal(min(lows)))
+    return F.call_function("div", apart, F.lit(Decimal(width)))
 
 
 def differing(
