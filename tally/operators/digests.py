@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tally.operators.joins import join_dim
 from tally.workspace import fresh_path
 
-ROWS_PER_RANGE = 64
+ROWS_PER_RANGE = 16
 MOST_RANGES = 1 << 18  # 16 bytes each: a broadcast of at most 4 MB
 
 
