@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tally.llm.ngram_join import row_names
 from tally.llm.texts import BROADCAST_BYTES, written
 from tally.operators import join_dim
 
@@ -35,26 +36,31 @@ def _site(site: Column) -> Column:
     return F.when(site.isNull(), F.lit("none")).otherwise(F.concat(F.lit("s:"), site.cast("string")))
 
 
-def line_frequencies(docs: DataFrame, site: str = "source", copies_once: bool = False) -> DataFrame:
+def line_frequencies(docs: DataFrame, site: str = "source", copied: DataFrame | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
     """(site_key, name, pages, total): in how many of a site's pages each line occurs.
 
-    With ``copies_once`` the rows of a site that have the same text are one page.
+    With ``copied``, (id, text_hash, keeper) of :func:`tally.llm.ngram_join.copied_rows`, the rows of a site with one
+    keeper are one page that holds the lines of them all.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.transform(F.split(text, "\n"), _bare), lambda line: line != "")
-    pages = docs.select(
-        _site(F.col(site)).alias("site_key"), _name(text).alias("page"), F.array_distinct(F.transform(lines, _name)).alias("names")
-    )
-    if copies_once:
-        pages = pages.groupBy("site_key", "page").agg(F.first("names").alias("names"))  # copies meet before the shuffle
-        pages = written(pages, "distinct-pages")
+    names = F.array_distinct(F.transform(lines, _name)).alias("names")
+    pages = docs.select(_site(F.col(site)).alias("site_key"), names, *(row_names(docs) if copied is not None else []))
+    if copied is None:
+        several, alone = pages.limit(0).withColumn("keeper", F.lit(0)), pages
+    else:
+        pages = join_dim(pages, copied, ["id", "text_hash"], "left", limit=limit).select("site_key", "names", "keeper")
+        pages = written(pages, "pages-of-lines")
+        several, alone = pages.filter("keeper IS NOT NULL"), pages.filter("keeper IS NULL").drop("keeper")
+    once = several.select("site_key", "keeper", F.explode("names").alias("name")).distinct().select("site_key", "name")
     counted = (
-        pages.select("site_key", F.explode("names").alias("name"))
+        alone.select("site_key", F.explode("names").alias("name"))
+        .unionByName(once)
         .groupBy("site_key", "name")
         .agg(F.count("*").alias("pages"))
     )
-    totals = pages.groupBy("site_key").agg(F.count("*").alias("total"))
-    return join_dim(counted, totals, "site_key")
+    totals = alone.select("site_key").unionByName(several.select("site_key", "keeper").distinct().select("site_key"))
+    return join_dim(counted, totals.groupBy("site_key").agg(F.count("*").alias("total")), "site_key")
 
 
 def drop_frequent_lines(
@@ -63,22 +69,22 @@ def drop_frequent_lines(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     limit: int = BROADCAST_BYTES,
-    copies_once: bool = False,
+    copied: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with ``text`` cleaned, ``n_lines`` and ``n_dropped``.
 
     A line goes if it is on more than ``ratio`` of its site's pages and on ``least_pages`` or more.
     Lines are compared without the white space around them; lines without text are neither counted
     nor dropped.  A null site is one site.  A null text stays null and counts as a page.  A text
-    all of whose lines go becomes empty; the row stays.  Repeated rows are pages of their own, unless ``copies_once`` counts the same text
-    on a site as one page, so that a text is not boilerplate because it was copied.  Columns named
-    like the two counts are replaced, others kept.
+    all of whose lines go becomes empty; the row stays.  Repeated rows are pages of their own, unless ``copied``
+    names copies and near copies, which then are one page a site, so that a text is not boilerplate because it was
+    copied.  Columns named like the two counts are replaced, others kept.
     """
     made = ["n_lines", "n_dropped"]
     columns = [c for c in docs.columns if c not in made]
     held = {f"in{i}": c for i, c in enumerate(columns)}  # so that no name of the input can clash
     frequent = (
-        line_frequencies(docs, site, copies_once)
+        line_frequencies(docs, site, copied, limit)
         .filter((F.col("pages") > F.col("total") * F.lit(float(ratio))) & (F.col("pages") >= least_pages))
         .groupBy("site_key")
         .agg(F.collect_list("name").alias("frequent"))

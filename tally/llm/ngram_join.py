@@ -263,11 +263,12 @@ def ngram_groups(
     block_grams: int = BLOCK_GRAMS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(doc_id, text_hash, class_id, n_links, has_grams, stays) of every row of (doc_id, text).
+    """(doc_id, text_hash, class_id, n_links, has_grams, stays, keeper) of every row of (doc_id, text).
 
     ``n_links``: other rows with a Jaccard similarity of at least ``threshold`` on word grams, copies
     included.  ``class_id``: least doc_id of all rows connected by such links, the row's own if it
-    has none.  ``stays``: true for the rows (equal in id and text) that stand for their class.
+    has none.  ``stays``: true for the rows (equal in id and text) that stand for their class, ``keeper``: the
+    (id, text_hash) of these rows, which names the class.
 
     Texts of fewer words than a gram are one gram, so they match whole texts only; null and empty
     texts have no gram and match nothing.  Rows alike count as copies of each other, also under one
@@ -339,6 +340,7 @@ def ngram_groups(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         has_grams.alias("has_grams"),
         F.when(has_grams, itself == F.col("keeper")).otherwise(True).alias("stays"),
+        F.when(has_grams, F.col("keeper")).otherwise(itself).alias("keeper"),
     )
 
 
@@ -347,6 +349,17 @@ def ngram_classes(docs: DataFrame, **settings) -> DataFrame:
     return ngram_groups(docs, **settings).select("doc_id", "class_id", "n_links")
 
 
+def copied_rows(docs: DataFrame, **settings) -> DataFrame:
+    """(id, text_hash, keeper) of the rows that have copies or near copies, each once; see :func:`row_names`."""
+    groups = ngram_groups(docs, **settings).filter("has_grams AND n_links > 0")
+    return written(groups.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "keeper").distinct(), "ngram-copied")
+
+
+def row_names(docs: DataFrame) -> list[Column]:
+    """``id`` and ``text_hash``, by which rows are told apart here."""
+    return [F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("id"), _text_hash().alias("text_hash")]
+
+
 def drop_near_duplicates(docs: DataFrame, limit: int = BROADCAST_BYTES, **settings) -> DataFrame:
     """The rows of ``docs`` less all but one row of each near-duplicate class.
 

@@ -108,13 +108,16 @@ def quality(docs, common, wide, limits):
     return chosen
 
 
-def frequent_lines(docs, ratio=0.1, least=5):
+def frequent_lines(docs, ratio=0.1, least=5, near_once=False):
     """Cleaned texts of (doc_id, text, lang, source, ...) rows, with the lines counted and dropped."""
     white = " \t\r\x0b\x0c"
-    total, pages = Counter(), Counter()
-    for _, text, _, source, *_ in docs:
+    total, pages, said = Counter(), Counter(), {}
+    group = near_groups([d[:2] for d in docs]) if near_once else range(len(docs))
+    for (_, text, _, source, *_), page in zip(docs, group):
+        said.setdefault((source, page), set()).update({x.strip(white) for x in (text or "").split("\n")} - {""})
+    for (source, _), lines in said.items():
         total[source] += 1
-        for line in {x.strip(white) for x in (text or "").split("\n")} - {""}:
+        for line in lines:
             pages[source, line] += 1
     out = []
     for _, text, _, source, *_ in docs:
@@ -136,7 +139,12 @@ def grams(text, n=5):
     return {(size, *found[i : i + size]) for i in range(len(found) - size + 1)} if found else set()
 
 
-def near_classes(rows, threshold=0.8):
+def near_groups(rows, threshold=0.8):
+    """A number of the class of each (doc_id, text) row."""
+    return near_classes(rows, threshold, numbered=True)
+
+
+def near_classes(rows, threshold=0.8, numbered=False):
     """[(class_id, n_links)] of (doc_id, text) rows, comparing all pairs that share a gram."""
     sets = [grams(text) for _, text in rows]
     where = {}
@@ -159,6 +167,8 @@ def near_classes(rows, threshold=0.8):
                 links[i] += 1
                 links[j] += 1
                 parent[find(i)] = find(j)
+    if numbered:
+        return [find(i) for i in range(len(rows))]
     least = {}
     for i, (doc, _) in enumerate(rows):
         if doc is not None:

@@ -4,6 +4,7 @@ import llm_brute as brute
 import corpus_pipeline
 
 from tally.llm.line_frequency import drop_frequent_lines
+from tally.llm.ngram_join import copied_rows
 
 
 def copied():
@@ -18,7 +19,7 @@ def test_a_copied_text_is_not_boilerplate(documents):
     docs = documents(rows).repartition(5)
     once = {(r[3], r[1] or ""): r for r in rows}
     texts = {key: t for key, (t, _, _) in zip(once, brute.frequent_lines(list(once.values())))}
-    found = drop_frequent_lines(docs, copies_once=True).collect()
+    found = drop_frequent_lines(docs, copied=copied_rows(docs)).collect()
     got = {(r.doc_id, r.text) for r in found}
     assert got == {(d, None if t is None else texts[s, t]) for d, t, _, s in rows} and len(found) == len(rows)
     assert (3, "same text\nof many rows") in got and (31, "own 31\nmore of 31") in got

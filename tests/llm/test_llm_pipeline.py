@@ -11,7 +11,12 @@ LIMITS = (quality.WIDE_CHAR_LIMIT, quality.WIDE_WORD_LIMIT), (quality.CHAR_LIMIT
 
 def plain_run(docs, items):
     docs = [d for d, k in zip(docs, brute.quality(docs, quality.COMMON, *LIMITS)) if k]
-    docs = [(d[0], t, *d[2:]) for d, (t, _, _) in zip(docs, brute.frequent_lines(docs))]
+    return plain_rest(docs, items)
+
+
+def plain_rest(docs, items):
+    """The stages after the first."""
+    docs = [(d[0], t, *d[2:]) for d, (t, _, _) in zip(docs, brute.frequent_lines(docs, near_once=True))]
     classes = brute.near_classes([d[:2] for d in docs])
     docs = [d for d, (c, _) in zip(docs, classes) if c == d[0] or not brute.words(d[1])]
     docs = [d for d in docs if not brute.contamination(d[1], items)[1]]
@@ -38,3 +43,27 @@ def test_stages_of_an_empty_table(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small_dir).count() == 0
+
+
+def shared(site, copies, others):
+    """Near copies of a page of 20 lines that own their first and last line, among unlike pages."""
+    middle = "\n".join(f"shared line {site} {k} says this {k * 7} and that {k * 11} of it" for k in range(20))
+    rows = [f"{site} own first line {i}\n{middle}\n{site} own last line {i}" for i in range(copies)]
+    own = lambda i: "\n".join(f"page {site} {i} line {k} with words {i * k} {i + k} of its own" for k in range(9))
+    return rows + [f"head of {site}\n{own(i)}" for i in range(others)]
+
+
+def test_one_of_many_near_copies_keeps_its_whole_text(spark, documents, tmp_path):
+    texts = [(t, "hot") for t in shared("hot", 30, 120)] + [(t, "cold") for t in shared("cold", 90, 30)]
+    rows = [(i, t, "en", s) for i, (t, s) in enumerate(texts)]
+    rows += [(500 + i, texts[0][0], "en", "hot") for i in range(40)]  # and exact copies of one of them
+    rows += [(600, None, "en", "hot"), (601, "", "en", None), (None, texts[40][0], "en", "hot"), (0, texts[0][0], "en", "hot")]
+    cleaned = corpus_pipeline.line_dedup(spark, documents(rows), "")
+    got = {(r.doc_id, r.source): r.text for r in cleaned.collect()}
+    for (doc, text, _, source), (t, _, _) in zip(rows, brute.frequent_lines(rows, near_once=True)):
+        assert got[doc, source] == t
+    assert got[3, "hot"] == texts[3][0]  # whole
+    assert got[35, "hot"] == texts[35][0].removeprefix("head of hot\n")  # true boilerplate still goes
+    left = corpus_pipeline.near_duplicates(spark, cleaned, "").collect()
+    near = [r.text for r in left if r.text and "shared line hot" in r.text]
+    assert near == [texts[0][0]] and sum("shared line cold" in (r.text or "") for r in left) == 1
