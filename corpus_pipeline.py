@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tally.llm.decontamination import decontaminated
 from tally.llm.line_frequency import drop_frequent_lines
 from tally.llm.mixture import mix
-from tally.llm.ngram_join import drop_near_duplicates
+from tally.llm.ngram_join import copied_rows, drop_near_duplicates
 from tally.llm.quality import keep_good
 from tally.llm.texts import table, written
 
@@ -30,9 +30,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go, and documents that were nothing else; ``n_chars`` follows the text.
 
-    Copies of a text count once: they are for the next stage to drop, not to lose their text here.
+    Copies and near copies of a text are one page: they are for the next stage to drop, not to lose here
+    the text that they share.
     """
-    cleaned = drop_frequent_lines(docs, copies_once=True)
+    cleaned = drop_frequent_lines(docs, copied=copied_rows(docs))
     emptied = (F.col("n_dropped") > 0) & ~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
     return cleaned.filter(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
