@@ -1,15 +1,19 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a target number of words.  A document is first taken as often as its source's
-target covers the whole source; those copies are certain.  What is left of the target is a
-fixed-size sample: each document has an inclusion chance p (the part of its source that is left,
-so chances differ between sources), a fixed random number u, and the rank key
+target covers the whole source; those copies are certain.  What is left of the target, L words, is a
+fixed-size sample with unequal chances: the inclusion chance of a document is in proportion to its size,
+
+    p = min(1, c * size),    c such that the chances times the sizes add up to L
+
+so long documents, which carry most of a source's words, are the surest, and those with p = 1 are
+certain.  Each document has a fixed random number u and the rank key
 
     Q = (u / (1 - u)) / (p / (1 - p))
 
-Documents are taken in the order of Q until the words left are used up.  The gap that remains, less
-than one document, is closed by the document beyond the cut whose size is nearest to it, if that
-brings the source nearer to its target.
+Documents are taken in the order of Q, certain ones first, until the words left are used up.  The gap that
+remains, less than one document, is closed by the document beyond the cut whose size is nearest to it, if
+that brings the source nearer to its target.
 
 Nothing is sorted as a whole: Q / (1 + Q) lies in (0, 1), so two rounds of counting on a grid
 leave one cell a source with about a 2**-24 part of its documents, and only that cell is ordered.
@@ -75,8 +79,28 @@ def _measures(docs: DataFrame, seed: str) -> list[Column]:
 
 
 def _rank_key() -> Column:
-    q = (F.col("_u") / (1.0 - F.col("_u"))) / (F.col("_chance") / (1.0 - F.col("_chance")))
-    return F.when(F.col("_chance") > 0, q / (1.0 + q))
+    """Q / (1 + Q) of a row, from 0 for certain ones to 1 for those without a chance."""
+    p = F.col("_c") * F.col("_size")
+    q = (F.col("_u") / (1.0 - F.col("_u"))) / (p / (1.0 - p))
+    return F.when(F.col("_c") > 0, F.when(p >= 1.0, 0.0).when(p > 0, q / (1.0 + q)).otherwise(1.0))
+
+
+def _with_chances(narrow: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
+    """``plan`` with ``_c``: the chance a word of size, where ``_left`` words of a source are to be sampled.
+
+    Sizes are few, however many rows have them.  If the sizes above one are certain, c is what is left of L
+    over the squares of the others; the largest size that is not certain then is where the chances begin.
+    """
+    sizes = narrow.filter("_size > 0").groupBy("_key", "_size").agg(F.count("*").alias("_rows"))
+    sizes = join_dim(sizes, plan.filter("_left > 0").select("_key", "_left"), "_key", limit=limit)
+    exact = F.col("_size").cast("decimal(38,0)") * F.col("_rows")
+    falling = Window.partitionBy("_key").orderBy(F.col("_size").desc())
+    above = F.sum(exact.cast("decimal(38,0)")).over(falling.rowsBetween(Window.unboundedPreceding, -1))
+    squares = F.sum((exact * F.col("_size")).cast("decimal(38,0)")).over(falling.rowsBetween(0, Window.unboundedFollowing))
+    c = (F.col("_left") - F.coalesce(above, F.lit(0)).cast("double")) / squares.cast("double")
+    fits = sizes.withColumn("_c", c).filter(F.col("_c") * F.col("_size") <= 1.0)
+    found = fits.groupBy("_key").agg(F.max_by("_c", "_size").alias("_c"))
+    return plan.join(found, "_key", "left").withColumn("_c", F.coalesce("_c", F.lit(0.0)))
 
 
 def _crossing(sums: DataFrame, order: Sequence[str], words: Column, start: str) -> DataFrame:
@@ -92,7 +116,7 @@ def _cuts(narrow: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
     """Where the sample of each source ends: the cut, the rows taken at it, and the closing row."""
     at = ["_v", "_id", "_hash"]
     pool = (
-        join_dim(narrow, plan.filter("_chance > 0"), "_key", limit=limit)
+        join_dim(narrow, plan.filter("_c > 0"), "_key", limit=limit)
         .withColumn("_v", _rank_key())
         .withColumn("_a", F.floor(F.col("_v") * GRID))
         .withColumn("_b", F.floor((F.col("_v") * GRID - F.col("_a")) * GRID))
@@ -135,10 +159,9 @@ def _planned(
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (
         targets.withColumn("_whole", F.floor(ratio).cast("long"))
-        .withColumn("_chance", ratio - F.col("_whole"))
         .withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size"))
     )
-    plan = written(plan, "mix-plan")
+    plan = written(_with_chances(narrow, plan, limit), "mix-plan")
     cuts = _cuts(narrow.drop("source", "doc_id"), plan, limit)
     return narrow, written(plan.join(cuts, "_key", "left"), "mix-decisions")
 

@@ -158,13 +158,23 @@ WITH measured AS (
 ), targets AS (
   SELECT source, source_size, least(cap, coalesce((SELECT level FROM chosen), 0) * w) AS target FROM stops
 ), ratios AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
-    CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS p
-  FROM targets
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
+), sizes AS (
+  SELECT source, size, count(*) AS n FROM measured WHERE size > 0 GROUP BY source, size
+), tried AS (
+  SELECT s.source, size, (target - whole * source_size - coalesce(sum(size * n) OVER above, 0)::double) / (sum(size * size * n) OVER below)::double AS c
+  FROM sizes s JOIN ratios r ON s.source IS NOT DISTINCT FROM r.source WHERE target - whole * source_size > 0
+  WINDOW above AS (PARTITION BY s.source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    below AS (PARTITION BY s.source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), slopes AS (
+  SELECT source, arg_max(c, size) AS c FROM tried WHERE c * size <= 1 GROUP BY source
+), chances AS (
+  SELECT d.*, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size AS left_words, coalesce(c, 0) AS c, coalesce(c, 0) * size AS p
+  FROM drawn d JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source LEFT JOIN slopes s ON d.source IS NOT DISTINCT FROM s.source
 ), ranked AS (
-  SELECT d.*, r.source_size, r.target, r.whole, r.p, r.target - r.whole * r.source_size AS left_words,
-    CASE WHEN p > 0 THEN ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))) END AS v
-  FROM drawn d JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source
+  SELECT *, CASE WHEN c > 0 THEN CASE WHEN p >= 1 THEN 0 WHEN p > 0
+    THEN ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))) ELSE 1 END END AS v
+  FROM chances
 ), running AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY v, id, h ROWS UNBOUNDED PRECEDING) AS upto,
     row_number() OVER (PARTITION BY source ORDER BY v, id, h) AS n
@@ -173,11 +183,11 @@ WITH measured AS (
   SELECT *, left_words - coalesce(max(upto) FILTER (upto <= left_words) OVER (PARTITION BY source), 0) AS gap FROM running
 ), closing AS (
   SELECT source, arg_min(n, (abs(size - gap), n)) AS n, min(abs(size - gap)) AS miss, any_value(gap) AS gap
-  FROM gaps WHERE p > 0 AND upto > left_words GROUP BY source
+  FROM gaps WHERE c > 0 AND upto > left_words GROUP BY source
 )
 SELECT g.doc_id, g.size::bigint AS size, g.source_size, g.target,
-  (g.size * (g.whole + CASE WHEN g.p > 0 AND (g.upto <= g.left_words OR (c.n = g.n AND c.miss < c.gap)) THEN 1 ELSE 0 END))::bigint AS taken
-FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source
+  (g.size * (g.whole + CASE WHEN g.c > 0 AND (g.upto <= g.left_words OR (e.n = g.n AND e.miss < e.gap)) THEN 1 ELSE 0 END))::bigint AS taken
+FROM gaps g LEFT JOIN closing e ON g.source IS NOT DISTINCT FROM e.source
 """
 
 
@@ -321,7 +331,8 @@ _OP12 = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')), '[^ 	]+') AS w
+-
+]')), '[^ 	]+') AS w
   FROM documents
 ), found AS MATERIALIZED (
   SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*) AS f

@@ -202,6 +202,16 @@ def contamination(text, items, window=10):
     return len(found), len(hit), sorted(ids)
 
 
+def slope(sizes, left):
+    """c for which the chances min(1, c * size) times the sizes add up to ``left`` words."""
+    counts = Counter(n for n in sizes if n)
+    for size in sorted(counts, reverse=True):
+        c = (left - float(sum(n * k for n, k in counts.items() if n > size))) / float(sum(n * n * k for n, k in counts.items() if n <= size))
+        if c * size <= 1:
+            return c
+    return 0.0
+
+
 def mixture(rows, weights=(3, 1, 2), share=1.5, most=2.0, seed="mixture-1"):
     """[(size, source_size, target, taken)] of (doc_id, text, source) rows, alike rows in any order."""
     sizes = [len(words(text)) for _, text, _ in rows]
@@ -230,17 +240,21 @@ def mixture(rows, weights=(3, 1, 2), share=1.5, most=2.0, seed="mixture-1"):
         whole = math.floor(ratio)
         for i in own:
             taken[i] = whole * sizes[i]
-        p, left = ratio - whole, target[s] - whole * total[s]
-        if p <= 0:
+        left = target[s] - whole * total[s]
+        if left <= 0:
             continue
+        c = slope([sizes[i] for i in own], left)
 
         def key(i):
             doc, text, _ = rows[i]
             name = "" if doc is None else str(doc)
             h = hashlib.md5((text or "").encode()).hexdigest()
             u = (int(hashlib.md5(f"{seed}:{name}:{h}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-            q = (u / (1 - u)) / (p / (1 - p))
-            return q / (1 + q), name, h
+            p = c * sizes[i]
+            if p >= 1:
+                return 0.0, name, h
+            q = (u / (1 - u)) / (p / (1 - p)) if p > 0 else None
+            return 1.0 if q is None else q / (1 + q), name, h
 
         ranked, used, rest = sorted(own, key=key), 0, []
         for i in ranked:
