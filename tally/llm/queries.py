@@ -270,8 +270,10 @@ FROM told GROUP BY conv_id
 
 @query(_OP10)
 def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "conv_id long, turn long, role string, text string"
-    extra = spark.createDataFrame([(-7, 0, "user", _HOSTILE), (-7, 1, "assistant", _HOSTILE)], schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(_HOSTILE).alias("text")
+    )
     trees = linear_trees(table(spark, sf_dir, "conversations"), extra)
     chats = format_conversations(trees, top=1)
     told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
