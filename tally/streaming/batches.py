@@ -1,21 +1,24 @@
 """The change operators on micro-batches.
 
 Each batch writes its own folder, replacing it when the batch is run again after a failure,
-so a batch counts once however often it is retried.
+so a batch counts once however often it is retried.  With ``published`` readers never meet half a batch either:
+it is written under a fresh name and counts from the moment it is entered in a log; see :func:`read_batches`.
 """
 
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.operators.changes import audit_changes, latest_per_key
 from tally.operators.joins import join_dim
 from tally.operators.quality import check_date_range
+from tally.sources.commits import CommitLog
 
 BATCH_COLUMN = "batch_id"
 
@@ -27,14 +30,23 @@ def _per_batch(
     checkpoint: str,
     trigger: dict | None,
     keep: bool = False,
+    published: bool = False,
 ) -> StreamingQuery:
     """``keep`` holds a batch that is read more than once; its size is the source's to bound."""
+    log = CommitLog(changes.sparkSession, f"{sink}/log")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if published and batch_id in log.numbers():
+            return  # the stream stopped between this entry and its own checkpoint
         if keep:
             batch.persist()
         try:
-            work(batch, batch_id).write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch_id}")
+            if published:
+                name = f"{BATCH_COLUMN}={batch_id}/run={uuid.uuid4().hex}"
+                work(batch, batch_id).write.parquet(f"{sink}/data/{name}")
+                log.publish(batch_id, [name])
+            else:
+                work(batch, batch_id).write.mode("overwrite").parquet(f"{sink}/{BATCH_COLUMN}={batch_id}")
         finally:
             if keep:
                 batch.unpersist()
@@ -43,6 +55,15 @@ def _per_batch(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_batches(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows of all published batches of ``sink``, with their ``batch_id``."""
+    log = CommitLog(spark, f"{sink}/log")
+    names = [name for number in log.numbers() for name in log.read(number)]
+    if not names:
+        raise ValueError(f"{sink} has no published batch")
+    return spark.read.option("basePath", f"{sink}/data").parquet(*[f"{sink}/data/{name}" for name in names]).drop("run")
+
+
 def audit_stream(
     changes: DataFrame,
     current: DataFrame | Callable[[int], DataFrame],
@@ -57,6 +78,7 @@ def audit_stream(
     deleted: Column | None = None,
     order: Column | None = None,
     trigger: dict | None = None,
+    published: bool = False,
 ) -> StreamingQuery:
     """Audit a stream of new row images against the present table.
 
@@ -82,7 +104,7 @@ def audit_stream(
         stamp = at(batch_id) if callable(at) else at
         return audit_changes(before, after, key, cols, table, user, station, stamp, str(batch_id))
 
-    return _per_batch(changes, audit, sink, checkpoint, trigger, keep=True)
+    return _per_batch(changes, audit, sink, checkpoint, trigger, keep=True, published=published)
 
 
 def validate_stream(
@@ -91,9 +113,10 @@ def validate_stream(
     sink: str,
     checkpoint: str,
     trigger: dict | None = None,
+    published: bool = False,
 ) -> StreamingQuery:
     """Run a batch check or clamp (``rule``) on every micro-batch and keep what it returns."""
-    return _per_batch(changes, lambda batch, _: rule(batch), sink, checkpoint, trigger)
+    return _per_batch(changes, lambda batch, _: rule(batch), sink, checkpoint, trigger, published=published)
 
 
 def violations_stream(changes: DataFrame, col: str, low: datetime.date, high: datetime.date) -> DataFrame:

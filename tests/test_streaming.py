@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tally.operators.changes import apply_updates, audit_changes, audit_pairs
 from tally.operators.quality import clamp_to_reference
-from tally.streaming import audit_stream, validate_stream, violations_stream
+from tally.sources import CommitLog
+from tally.streaming import audit_stream, read_batches, validate_stream, violations_stream
 
 AT = datetime.datetime(2021, 5, 6, 7, 8, 9)
 SCHEMA = "plane_id int, brand string, capacity int, seq int, gone boolean"
@@ -150,3 +151,38 @@ def test_a_plain_table_serves_one_batch(spark, tmp_path, feed):
         audited(spark, tmp_path, read, before)
     with pytest.raises(ValueError, match="time stamp"):
         audit_stream(read(), before, "plane_id", COLUMNS, "x", "y", *STAMP)
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path, feed, monkeypatch):
+    add, read = feed
+    add((1, "A", 1, 1, False))
+    sink = f"{tmp_path}/log"
+    run = lambda: validate_stream(read(), lambda b: b, sink, f"{tmp_path}/cp", published=True).awaitTermination()
+    run()
+    add((2, "B", 2, 1, False), (3, "C", 3, 1, False))
+    publish = CommitLog.publish
+
+    def killed(self, number, lines):
+        assert spark.read.parquet(f"{sink}/data/{lines[0]}").count() == 2  # written, not entered
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(CommitLog, "publish", killed)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    assert rows(read_batches(spark, sink).select("plane_id", "batch_id")) == [(1, 0)]
+
+    def entered_then_killed(self, number, lines):
+        publish(self, number, lines)
+        raise RuntimeError("killed later")
+
+    monkeypatch.setattr(CommitLog, "publish", entered_then_killed)
+    with pytest.raises(Exception, match="killed later"):
+        run()
+    monkeypatch.undo()
+    run()  # the batch is entered already and not written again
+    assert rows(read_batches(spark, sink).select("plane_id", "batch_id")) == [(1, 0), (2, 1), (3, 1)]
+
+
+def test_a_sink_without_batches(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_batches(spark, str(tmp_path / "none"))
