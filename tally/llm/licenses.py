@@ -69,8 +69,47 @@ SENTENCES: dict[str, str] = {
     "cc0-dedicated": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "cc0-authors": "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
     "unlicense-public": "this is free and unencumbered software released into the public domain",
+    "bsd-endorse-tail": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "gpl2-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl3-only": "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "spdx": "spdx license identifier",
 }
 
+# What may stand before "licensed under", and the licences named in such a sentence or an SPDX line.
+LEADS = ("this project is", "this software is", "this file is", "this code is", "this work is")
+NAMED: dict[str, str] = {
+    "the apache license version 2.0": "Apache-2.0",
+    "the mit license": "MIT",
+    "the isc license": "ISC",
+    "the gnu general public license version 2": "GPL-2.0",
+    "the gnu general public license version 3": "GPL-3.0",
+    "the mozilla public license version 2.0": "MPL-2.0",
+    "cc by 4.0": "CC-BY-4.0",
+    "cc by sa 4.0": "CC-BY-SA-4.0",
+    "cc by nc 4.0": "CC-BY-NC-4.0",
+}
+SPDX: dict[str, str] = {
+    "apache 2.0": "Apache-2.0",
+    "mit": "MIT",
+    "isc": "ISC",
+    "bsd 2 clause": "BSD-2-Clause",
+    "bsd 3 clause": "BSD-3-Clause",
+    "gpl 2.0 only": "GPL-2.0",
+    "gpl 2.0 or later": "GPL-2.0-or-later",
+    "gpl 3.0 only": "GPL-3.0",
+    "gpl 3.0 or later": "GPL-3.0-or-later",
+    "lgpl 2.1 or later": "LGPL-2.1-or-later",
+    "lgpl 3.0 or later": "LGPL-3.0-or-later",
+    "mpl 2.0": "MPL-2.0",
+    "cc by 4.0": "CC-BY-4.0",
+    "cc by sa 4.0": "CC-BY-SA-4.0",
+    "cc0 1.0": "CC0-1.0",
+    "unlicense": "Unlicense",
+}
+_LED = {f"{lead} licensed under {said}": licence for said, licence in NAMED.items() for lead in LEADS}
+_LED = {said: licence for said, licence in _LED.items() if said not in SENTENCES.values()}
+SENTENCES |= {f"led-{i}": said for i, said in enumerate(_LED)} | {f"spdx-{i}": said for i, said in enumerate(SPDX)}
+
 # Licence, then the sentence identifiers that must occur in this order.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache2-short",)),
@@ -110,6 +149,11 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC0-1.0", ("cc0-dedicated",)),
     ("CC0-1.0", ("cc0-authors",)),
     ("Unlicense", ("unlicense-public",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-tail")),
+    ("GPL-2.0", ("gpl-free", "gpl2-only")),
+    ("GPL-3.0", ("gpl-free", "gpl3-only")),
+    *[(licence, (f"led-{i}",)) for i, licence in enumerate(_LED.values())],
+    *[(licence, ("spdx", f"spdx-{i}")) for i, licence in enumerate(SPDX.values())],
 ]
 
 #: What a sentence cannot hold becomes one space; then a sentence ends at these marks or, in the

@@ -107,3 +107,36 @@ def test_parts_of_notices_are_none(documents):
     glued = GNU.format(what="program", mark=":", kind="General Public", stop=",", version="3").replace("or modify\n", "or modify\n\n")
     rows = [(1, "\n\n".join(reversed(parts))), (2, "\n\n".join(parts[:2])), (3, glued), (4, "x " + MPL.format(http="http")), (5, "\n" * 100_000 + "a")]
     assert all(not r.licenses for r in license_scan(documents(rows)).collect())
+
+
+@pytest.mark.parametrize(
+    "text, licence",
+    [
+        ("This project is licensed under the MIT License.", "MIT"),
+        ("Read this.\nThis software is licensed under the MIT License. More follows.", "MIT"),
+        ("// SPDX-License-Identifier: Apache-2.0\ncode", "Apache-2.0"),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later\n", "GPL-2.0-or-later"),
+        ("This work is licensed under CC BY 4.0.", "CC-BY-4.0"),
+        (
+            "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\n"
+            "published by the Free Software Foundation.\n",
+            "GPL-2.0",
+        ),
+        ("The MIT is in Cambridge. Apache-2.0 is a name.", None),
+        ("MIT\nApache 2.0", None),
+    ],
+)
+def test_short_notices(documents, text, licence):
+    assert license_scan(documents([(1, text)])).first().licenses == ([licence] if licence else [])
+
+
+def test_a_named_holder_makes_three_clauses(documents):
+    notice = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.\n"
+        "Neither the name of Acme Inc. nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.\n"
+    )
+    assert "BSD-3-Clause" in license_scan(documents([(1, notice)])).first().licenses
