@@ -1,7 +1,8 @@
 """Main text of HTML pages by a site style tree.
 
-All pages of a host are merged into one tree: a node is a path of elements (tag and class), its
-presentation is the set of child sequences seen there, its content the set of texts seen there.
+All pages of a host are merged into one tree: a node is a chain of elements (tag and class), named by a
+64-bit hash of its parent's name and its own label; its presentation is the set of child sequences seen
+there, its content the set of texts seen there.
 
 * presentation importance: the entropy of the child sequences over the pages with the node (base:
   their number); a layout that never varies scores 0;
@@ -10,12 +11,18 @@ presentation is the set of child sequences seen there, its content the set of te
 
 A branch is worth the greater of its own presentation importance and the content importance of what
 lies below it, weighted by the number of texts.  Branches worth little, on enough pages, on a
-host whose content does vary, are removed from every page.
+host whose content does vary, are removed from every page; a branch without a class must also be on most
+pages of the host.  A text without a class of its own is a node by itself, which goes if nearly
+all pages with its element have it.
+
+An article (else main) element is a bonus, not a filter: what stands in it needs no evidence, and what stands
+beside it is kept if it is in the main element around it, if it is a paragraph and the tree knows its
+node as one whose texts vary, or if it outweighs the article, which then is a teaser.  A page that would
+lose more than half of its article to branches and texts without a class keeps them: it is a copy.
 
 The tree knows nothing of single pages and small hosts, and an advert can change from page to
 page.  So elements whose tag, role or class names a purpose (menu, footer, advert, form, comments,
-...) have no importance at all, and an article element is kept unless a named part of it
-is template.  Without an article or main element, blocks that are mostly links go too.
+...) have no importance at all.  Blocks that are mostly links go too, except in an article.
 """
 
 from __future__ import annotations
@@ -39,6 +46,11 @@ LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 8
 VARIED_HOST = 0.5  # content importance of a whole host below which nothing is removed by it
 LINK_SHARE = 0.6
+HOST_SHARE = 0.5  # of the pages of a host: branches and texts without a class on fewer pages stay
+TEXT_SHARE = 0.9  # of the pages with an element: texts without a class on fewer pages stay
+VARIED_NODE = 0.8  # content importance from which a node beside the article counts as content
+LEAST_BODY = 100  # characters of a paragraph that can stand for itself beside an article
+DEEPEST = 100  # elements below this level of the tree are siblings there; texts are not affected
 
 # Elements by what HTML says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,6 +83,18 @@ ASIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs pagination pager footer masthead toolbar topbar comment comments disqus respond reply replies "
     "discussion copyright legal disclaimer hidden skip search form feedback".split()
 )
+# Within an article these need no company; the other words above count where the rest of the name only says what shape it has.
+SURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored gdpr newsletter sidebar navbar breadcrumb breadcrumbs "
+    "pagination disqus".split()
+)
+SHAPE_WORDS = frozenset(
+    "and area article articles at bar block body bottom box button buttons by card cards container content count desktop "
+    "element entry group header icon icons id inline inner item items js left line link links list main media message "
+    "messages mobile module more on our outer page panel policy post posts right row section slot stories story tab text "
+    "this thread title to top unit us view wp wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ASIDE_BEGINNINGS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "navbar", "newsletter", "sidebar", "sponsor")
 HEAD_WORDS = frozenset("header head topbar".split())  # not the heading of an article itself
 _LAYOUT = re.compile(r"(?:^|\s)(?:with|without|has|no|not|is)[-_]\S*")  # says what stands beside, as in has-sidebar
@@ -86,33 +110,59 @@ _CLASS_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|$)[^>]*(?:>|$)", re.I) for tag in RAW}
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     label: str
-    path: str
-    named: bool  # has a class or id of its own
+    ident: int
+    level: int
+    above: Node | None  # in the tree, where levels end at DEEPEST
+    named: bool  # has a class of its own
     dropped: bool
     inside: str  # "article", "main" or ""
+    around: bool  # within a main element
     link: bool
     children: list[str] = field(default_factory=list)
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
-    path: str
-    dropped: bool
-    inside: str
+    owner: Node
     linked: int  # characters within links
 
 
-def _named_aside(value: str, within: bool) -> bool:
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in _CLASS_WORD.findall(name)]
+
+
+def _named_aside(value: str) -> bool:
+    """Outside of an article any word that names a purpose counts."""
     value = _LAYOUT.sub(" ", value)
-    found = {w.lower() for w in _CLASS_WORD.findall(value)} | set(re.split(r"[^a-z]+", value.lower()))
-    if any(w.startswith(ASIDE_BEGINNINGS) for w in found):
-        return True
-    return bool(found & ASIDE_WORDS) or (not within and bool(found & HEAD_WORDS))
+    found = set(_words(value)) | set(re.split(r"[^a-z]+", value.lower()))
+    return any(w.startswith(ASIDE_BEGINNINGS) for w in found) or bool(found & (ASIDE_WORDS | HEAD_WORDS))
+
+
+def _aside_in_article(tag: str, classes: str, ident: str) -> bool:
+    """Within an article a name counts that says nothing else; ids of headings, texts and plain sections are anchors."""
+    if tag in HEADINGS:
+        return False
+    for name in _LAYOUT.sub(" ", classes).split():
+        words, plain = _words(name), re.split(r"[^a-z]+", name.lower())
+        if SURE_WORDS & {*words, *plain}:
+            return True
+        if any(_says_aside([w for w in split if w]) for split in (words, plain)):
+            return True
+    if tag in BLOCK and tag != "p":
+        words = _words(ident)
+        sure = len(words) > 1 or any(w in SURE_WORDS or w.startswith(ASIDE_BEGINNINGS) for w in words)
+        return sure and _says_aside(words)
+    return False
+
+
+def _says_aside(words: list[str]) -> bool:
+    named = [w in ASIDE_WORDS or w.startswith(ASIDE_BEGINNINGS) for w in words]
+    return any(named) and all(n or w in SHAPE_WORDS or w.isdigit() for n, w in zip(named, words, strict=True))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -122,9 +172,28 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _ident(above: int, label: str) -> int:
+    return xxhash.xxh64_intdigest(f"{above}/{label}") - 2**63
+
+
+def _text_ident(owner: int, text: str) -> int:
+    return xxhash.xxh64_intdigest(f"{owner} {text}") - 2**63
+
+
+ROOT = 0
+
+
+def node_of(path: str) -> int:
+    """Name of the node at a path of labels such as ``/body/div.top``."""
+    ident = ROOT
+    for label in path.split("/")[1:]:
+        ident = _ident(ident, label)
+    return ident
+
+
 def _opened(tag: str, attributes: str, above: Node) -> Node:
     has = _attributes(attributes) if attributes.strip(" /") else {}
-    names = f"{has.get('class', '')} {has.get('id', '')}".strip()
+    classes, anchor = has.get("class", ""), has.get("id", "")
     role = has.get("role", "").lower()
     within = above.inside != ""
     inside = above.inside
@@ -139,17 +208,27 @@ def _opened(tag: str, attributes: str, above: Node) -> Node:
         or "hidden" in has
         or has.get("aria-hidden", "").lower() == "true"
         or "display:none" in has.get("style", "").replace(" ", "").lower()
-        or (names != "" and tag not in ("html", "body") and _named_aside(names, within))
     )
-    label = tag + "".join("." + c for c in sorted(set(has.get("class", "").split())))
-    dropped = above.dropped or aside
-    return Node(tag, label, f"{above.path}/{label}", names != "", dropped, inside, above.link or tag == "a")
+    if not aside and (classes or anchor) and tag not in ("html", "body"):
+        aside = _aside_in_article(tag, classes, anchor) if inside else _named_aside(f"{classes} {anchor}")
+    label = tag + "".join("." + c for c in sorted(set(classes.split())))
+    parent = above if above.level < DEEPEST else above.above
+    return Node(
+        tag, label, _ident(parent.ident, label), parent.level + 1, parent, "." in label, above.dropped or aside, inside,
+        above.around or tag == "main" or role == "main", above.link or tag == "a",
+    )
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[str, list[str]]]]:
-    """(text blocks in page order, (path, child labels) of every element)."""
-    root = Node("", "", "", False, False, "", False)
+def parse(page: str, tree: bool = False) -> tuple[list[Block], list[tuple[Node, int]]]:
+    """(text blocks in page order, (element, its child sequence) of every element if ``tree``).
+
+    Open elements are found by their tag and the last open block by its place, so that deeply nested
+    pages take time and memory in proportion to their length.
+    """
+    root = Node("", "", ROOT, 0, None, False, False, "", False, False)
     stack, blocks, nodes = [root], [], []
+    places: dict[str, list[int]] = defaultdict(list)  # open elements of a tag, by their place in the stack
+    block_places = [0]
     pending: list[str] = []
     linked = 0
 
@@ -157,21 +236,27 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, list[str]]]]:
         nonlocal linked
         text = _SPACES.sub(" ", "".join(pending)).strip()
         if text:
-            owner = next(node for node in reversed(stack) if node.tag in BLOCK or node is root)
-            blocks.append(Block(text, owner.path, owner.dropped, owner.inside, linked))
+            blocks.append(Block(text, stack[block_places[-1]], linked))
         pending.clear()
         linked = 0
 
     def close(upto: int) -> None:
         while len(stack) > upto:
             node = stack.pop()
-            nodes.append((node.path, node.children))
+            places[node.tag].pop()
+            if block_places[-1] == len(stack):
+                block_places.pop()
+            if tree:
+                nodes.append((node, _feature(" ".join(node.children))))
+
+    def last(*tags: str) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def say(text: str) -> None:
         nonlocal linked
         text = character_references.unescape(text)
         top = stack[-1]
-        if top.dropped and top.tag not in BLOCK and not next(n for n in reversed(stack) if n.tag in BLOCK or n is root).dropped:
+        if top.dropped and top.tag not in BLOCK and not stack[block_places[-1]].dropped:
             return  # an inline element that is no part of the article
         pending.append(text)
         if top.link:
@@ -193,11 +278,10 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, list[str]]]]:
                 if found[0].endswith(">"):
                     if name in BLOCK:
                         flush()
-                    place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), None)
-                    if place is not None:
-                        # an inline end tag does not close a block around it
-                        if name in BLOCK or not any(n.tag in BLOCK for n in stack[place:]):
-                            close(place)
+                    place = last(name)
+                    # an inline end tag does not close a block around it
+                    if place and (name in BLOCK or block_places[-1] < place):
+                        close(place)
             continue
         if found[3] == "":  # the page ends within a tag
             continue
@@ -205,17 +289,14 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, list[str]]]]:
         if tag in BLOCK:
             flush()
         if tag in ENDS_P:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), None)
-            if place is not None and not any(n.tag in ("table", "button", "object") for n in stack[place:]):
+            place = last("p")
+            if place and place > last("table", "button", "object"):
                 close(place)
         if tag in ENDED_BY:
             ended, limits = ENDED_BY[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limits:
-                    break
-                if stack[i].tag in ended:
-                    close(i)
-                    break
+            place = last(*ended)
+            if place and place > last(*limits):
+                close(place)
         above = stack[-1]
         if tag in RAW:
             closing = _RAW_END[tag].search(page, at)
@@ -230,63 +311,119 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, list[str]]]]:
         if not above.children or above.children[-1] != node.label:  # a run of equal children is one
             above.children.append(node.label)
         if not found[2].rstrip().endswith("/") or tag in BLOCK or tag == "a":
+            if tag in BLOCK:
+                block_places.append(len(stack))
+            places[tag].append(len(stack))
             stack.append(node)
     flush()
     close(1)
     return blocks, nodes
 
 
-def _ancestors(path: str) -> list[str]:
-    parts = path.split("/")
-    return ["/".join(parts[: i + 1]) for i in range(1, len(parts))]
+def _cuts(blocks: list[Block], template: frozenset[int]) -> list[str]:
+    """For each block: "named" or "plain" if it is in such a branch of the template, else ""."""
+    found: dict[int, str] = {}
+
+    def of(node: Node) -> str:
+        chain = []
+        while node is not None and id(node) not in found:
+            chain.append(node)
+            node = node.above
+        cut = found[id(node)] if node is not None else ""
+        for below in reversed(chain):
+            if below.ident in template and cut != "named":
+                cut = "named" if below.named else "plain"
+            found[id(below)] = cut
+        return cut
 
+    return [of(b.owner) or ("plain" if _text_ident(b.owner.ident, b.text) in template else "") for b in blocks]
 
-def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
-    """Blocks of the article, joined by line ends; ``template``: paths of the host to leave out."""
+
+def main_text(page: str | None, template: frozenset[int] = frozenset(), varied: frozenset[int] = frozenset()) -> str:
+    """Blocks of the main text, joined by line ends.
+
+    ``template``: nodes of the host to leave out; ``varied``: nodes beside articles whose texts are content.
+    """
     if not page:
         return ""
-    blocks = [b for b in parse(page)[0] if not b.dropped]
-    for kind in ("article", "main"):
-        chosen = [b for b in blocks if b.inside == kind]
-        if chosen:
-            kept = [b for b in chosen if not any(p in template and "." in p.rsplit("/", 1)[1] for p in _ancestors(b.path))]
-            return "\n".join(b.text for b in (kept or chosen))
-    fair = [b for b in blocks if b.linked < LINK_SHARE * len(b.text)]
-    kept = [b for b in fair if not any(p in template for p in _ancestors(b.path))]
-    return "\n".join(b.text for b in (kept or fair))
+    blocks = [b for b in parse(page)[0] if not b.owner.dropped]
+    cuts = _cuts(blocks, template) if template else [""] * len(blocks)
+    fair = [b.linked < LINK_SHARE * len(b.text) for b in blocks]
+    kinds = {b.owner.inside for b in blocks}
+    kind = "article" if "article" in kinds else "main" if "main" in kinds else ""
+    if kind == "":
+        keep = [f and not cut for f, cut in zip(fair, cuts, strict=True)]
+        return "\n".join(b.text for b, k in zip(blocks, keep if any(keep) else fair, strict=True) if k)
+
+    def size(keep: list[bool]) -> int:
+        return sum(len(b.text) for b, k in zip(blocks, keep, strict=True) if k)
+
+    everything = [b.owner.inside == kind for b in blocks]
+    article = [e and cut != "named" for e, cut in zip(everything, cuts, strict=True)]
+    article = article if any(article) else everything
+    own = [a and not cut for a, cut in zip(article, cuts, strict=True)]
+    article = own if 2 * size(own) >= size(article) else article
+    beside = [f and not e and not cut for f, e, cut in zip(fair, everything, cuts, strict=True)]
+    if size(beside) <= max(size(article), LEAST_BODY):
+        beside = [
+            k and (b.owner.around or (len(b.text) >= LEAST_BODY and b.owner.ident in varied))
+            for b, k in zip(blocks, beside, strict=True)
+        ]
+    return "\n".join(b.text for b, a, k in zip(blocks, article, beside, strict=True) if a or k)
 
 
 # ---------------------------------------------------------------------------------------------
 # The tree of a site
 
 _STAT = pa.schema(
-    [("host", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("feature", pa.int64())]
-    + [("total", pa.float64()), ("logs", pa.float64())]
+    [("host", pa.string()), ("node", pa.int64()), ("kind", pa.string()), ("feature", pa.int64())]
+    + [("lineage", pa.list_(pa.int64())), ("seen", pa.int64()), ("total", pa.float64()), ("logs", pa.float64())]
 )
-_STAT_DDL = "host string, path string, kind string, feature long, total double, logs double"
+_STAT_DDL = "host string, node long, kind string, feature long, lineage array<long>, seen long, total double, logs double"
+_NAMED, _INSIDE = 1, 2
 
 
 def _feature(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - 2**63
 
 
+def _lineage(node: Node) -> list[int]:
+    found = []
+    while node is not None:
+        found.append(node.ident)
+        node = node.above
+    return found
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by node and feature: 'p' pages, 's' child sequences, 'c' texts (with sums of n log n)."""
+    """Counts by node and feature: 'p' pages (feature: a class, in an article), 's' child sequences, 'c' texts.
+
+    With them the pages, occurrences and sums of n log n; rows of kind 'l' tell the branches that a node with texts
+    is in.
+    """
     for batch in batches:
-        sums: dict[tuple[str, str, str, int], list[float]] = defaultdict(lambda: [0.0, 0.0])
+        sums: dict[tuple[str, int, str, int], list] = defaultdict(lambda: [0, 0.0, 0.0])
+        lineages: dict[tuple[str, int], list[int]] = {}
         for host, page in rows(batch, "host", "html"):
-            blocks, nodes = parse(page or "")
-            seen: dict[tuple[str, str, int], int] = defaultdict(int)
-            for path, children in nodes:
-                seen[path, "p", 0] = 1
-                seen[path, "s", _feature(" ".join(children))] += 1
+            blocks, nodes = parse(page or "", tree=True)
+            seen: dict[tuple[int, str, int], int] = defaultdict(int)
+            for node, children in nodes:
+                seen[node.ident, "p", _NAMED * node.named + _INSIDE * (node.inside != "")] = 1
+                seen[node.ident, "s", children] += 1
+            seen[ROOT, "p", 0] = 1
             for block in blocks:
-                seen[block.path, "c", _feature(block.text)] += 1
-            for (path, kind, feature), n in seen.items():
-                entry = sums[host, path, kind, feature]
-                entry[0] += n
-                entry[1] += n * math.log(n)
-        yield record_batch(_STAT, [(*key, *value) for key, value in sums.items()])
+                owner = block.owner
+                seen[owner.ident, "c", _text_ident(owner.ident, block.text)] += 1
+                if (host, owner.ident) not in lineages:
+                    lineages[host, owner.ident] = _lineage(owner)
+            for (ident, kind, feature), n in seen.items():
+                entry = sums[host, ident, kind, feature]
+                entry[0] += 1
+                entry[1] += n
+                entry[2] += n * math.log(n)
+        found = [(host, ident, kind, feature, None, *value) for (host, ident, kind, feature), value in sums.items()]
+        found += [(host, ident, "l", 0, above, 1, 1.0, 0.0) for (host, ident), above in lineages.items()]
+        yield record_batch(_STAT, found)
 
 
 def host_of(url: Column) -> Column:
@@ -295,45 +432,86 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":\d*$", ""))
 
 
+def _style_counts(pages: DataFrame) -> DataFrame:
+    observed = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_observed, _STAT_DDL)
+    sums = [F.sum(c).alias(c) for c in ("seen", "total", "logs")]
+    return written(observed.groupBy("host", "node", "kind", "feature", "lineage").agg(*sums), "style-tree")
+
+
+def _seen(counts: DataFrame) -> DataFrame:
+    """(host, node, pages, named, inside)."""
+    flags = F.col("feature")
+    return (
+        counts.filter("kind = 'p'")
+        .groupBy("host", "node")
+        .agg(
+            F.sum("seen").alias("pages"),
+            F.max(flags.bitwiseAND(_NAMED)).alias("named"),
+            F.max(flags.bitwiseAND(_INSIDE)).alias("inside"),
+        )
+    )
+
+
+def _texts(counts: DataFrame, seen: DataFrame) -> DataFrame:
+    """(host, node, feature, seen, worth, pages, named, inside) of every text of a node."""
+    spread = join_dim(counts.filter("kind = 'c'").drop("kind", "lineage"), seen, ["host", "node"])
+    entropy = F.when(F.col("pages") > 1, (F.ln("total") - F.col("logs") / F.col("total")) / F.ln("pages")).otherwise(0.0)
+    return spread.withColumn("worth", 1 - F.least(entropy, F.lit(1.0)))
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, presentation, content, texts): importance of every node with its branch.
+    """(host, node, pages, named, inside, presentation, content, texts): importance of every node with its branch.
 
-    ``presentation`` is the node's own; ``content`` is the mean over all texts in the branch.
+    ``node`` is as ``node_of`` names it; ``presentation`` is the node's own; ``content`` is the mean over
+    all texts in the branch.  ``named``, ``inside``: more than 0 if it has a class, and if it is in an article or main element.
     """
-    observed = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_observed, _STAT_DDL)
-    summed = observed.groupBy("host", "path", "kind", "feature").agg(F.sum("total").alias("total"), F.sum("logs").alias("logs"))
-    summed = written(summed, "style-tree")
-    seen = summed.filter("kind = 'p'").select("host", "path", F.col("total").alias("pages"))
+    counts = _style_counts(pages)
+    seen = _seen(counts)
+    return _tree(counts, seen, _texts(counts, seen))
 
+
+def _tree(counts: DataFrame, seen: DataFrame, texts: DataFrame) -> DataFrame:
     # child sequences: entropy over what the node's elements look like
-    looks = summed.filter("kind = 's'").groupBy("host", "path")
+    looks = counts.filter("kind = 's'").groupBy("host", "node")
     looks = looks.agg(F.sum("total").alias("n"), F.sum(F.col("total") * F.ln("total")).alias("nl"))
-    looks = looks.join(seen, ["host", "path"]).select(
-        "host", "path", "pages",
-        F.when(F.col("pages") > 1, F.least((F.ln("n") - F.col("nl") / F.col("n")) / F.ln("pages"), F.lit(1.0))).otherwise(1.0).alias("presentation"),
+    entropy = F.least((F.ln("n") - F.col("nl") / F.col("n")) / F.ln("pages"), F.lit(1.0))
+    looks = seen.join(looks, ["host", "node"], "left").select(
+        "host", "node", "pages", "named", "inside",
+        F.when(F.col("pages") > 1, F.coalesce(entropy, F.lit(0.0))).otherwise(1.0).alias("presentation"),
     )
-    # texts: for each, the entropy of the pages it is on
-    spread = join_dim(summed.filter("kind = 'c'").drop("kind", "feature"), seen, ["host", "path"])
-    entropy = F.when(F.col("pages") > 1, (F.ln("total") - F.col("logs") / F.col("total")) / F.ln("pages")).otherwise(0.0)
-    own = spread.groupBy("host", "path").agg(F.sum(1 - F.least(entropy, F.lit(1.0))).alias("worth"), F.count("*").alias("texts"))
-    parts = F.split("path", "/")
-    lineage = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    # texts: each counts in all branches that it is in
+    own = texts.groupBy("host", "node").agg(F.sum("worth").alias("worth"), F.count("*").alias("texts"))
+    branches = counts.filter("kind = 'l'").select("host", "node", "lineage")
     branch = (
-        own.select("host", F.explode(lineage).alias("path"), "worth", "texts")
-        .groupBy("host", "path")
+        own.join(branches, ["host", "node"])
+        .select("host", F.explode("lineage").alias("node"), "worth", "texts")
+        .groupBy("host", "node")
         .agg((F.sum("worth") / F.sum("texts")).alias("content"), F.sum("texts").alias("texts"))
     )
-    return branch.join(looks, ["host", "path"], "left")
+    return branch.join(looks, ["host", "node"])
 
 
 def template_branches(
     pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES, varied: float = VARIED_HOST
 ) -> DataFrame:
-    """(host, template): paths of each host whose branch has low importance."""
-    tree = style_tree(pages)
-    whole = tree.filter("path = ''").select("host", F.col("content").alias("host_content"))
-    low = (F.greatest("presentation", "content") < least) & (F.col("pages") >= least_pages) & (F.col("host_content") >= varied)
-    return tree.join(whole, "host").filter(low).groupBy("host").agg(F.collect_set("path").alias("template"))
+    """(host, template, varied) of each host: nodes and texts of low importance, nodes beside articles that are content."""
+    counts = _style_counts(pages)
+    seen = _seen(counts)
+    texts = _texts(counts, seen)
+    tree = written(_tree(counts, seen, texts), "style-tree-importance")
+    whole = tree.filter(F.col("node") == ROOT).filter((F.col("content") >= varied) & (F.col("pages") >= least_pages))
+    whole = whole.select("host", F.col("pages").alias("host_pages"))
+    common = (F.col("inside") == 0) | (F.col("named") > 0) | (F.col("pages") >= HOST_SHARE * F.col("host_pages"))
+    enough = F.col("pages") >= least_pages
+    judged = join_dim(tree.filter(enough), whole, "host").filter(F.col("node") != ROOT)
+    low = F.greatest("presentation", "content") < least
+    content = (F.col("inside") == 0) & (F.col("content") >= VARIED_NODE) & ~low
+    branches = judged.filter((low & common) | content).select("host", "node", (low & common).alias("low"))
+    everywhere = enough & (F.col("seen") >= TEXT_SHARE * F.col("pages")) & (F.col("worth") < least)
+    repeated = join_dim(texts.filter(everywhere), whole, "host").filter(F.col("pages") >= HOST_SHARE * F.col("host_pages"))
+    found = branches.unionAll(repeated.select("host", F.col("feature").alias("node"), F.lit(True).alias("low")))
+    chosen = [F.collect_set(F.when(c, F.col("node"))) for c in (F.col("low"), ~F.col("low"))]
+    return found.groupBy("host").agg(chosen[0].alias("template"), chosen[1].alias("varied"))
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -342,8 +520,8 @@ _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.str
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for page, url, source, template in rows(batch, "page_id", "url", "html", "template"):
-            text = main_text(source, frozenset(template or ()))
+        for page, url, source, template, varied in rows(batch, "page_id", "url", "html", "template", "varied"):
+            text = main_text(source, frozenset(template or ()), frozenset(varied or ()))
             found.append((page, url, text, len(text)))
         yield record_batch(_OUT, found)
 
@@ -360,6 +538,6 @@ def extract_main(pages: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     templates = written(template_branches(pages), "style-tree-templates")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
     marked = join_dim(base, templates, "host", "left", spread_by=["page_id", "url"], limit=limit)
-    return marked.select("page_id", "url", "html", "template").mapInArrow(
+    return marked.select("page_id", "url", "html", "template", "varied").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long"
     )

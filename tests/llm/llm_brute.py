@@ -268,3 +268,49 @@ def mixture(rows, weights=(3, 1, 2), share=1.5, most=2.0, seed="mixture-1"):
             if abs(sizes[best] - (left - used)) < left - used:
                 taken[best] += sizes[best]
     return [(n, total[r[2]], target[r[2]], t) for r, n, t in zip(rows, sizes, taken)]
+
+
+def page_template(pages):
+    """(nodes and texts to leave out, content beside articles) of one host's pages, straight from the definitions."""
+    import math
+
+    from tally.llm import html_main as h
+
+    looks, texts, on, marks, below = {}, {}, {}, {}, {}
+    for number, page in enumerate(pages):
+        blocks, nodes = h.parse(page, tree=True)
+        for node, children in nodes:
+            looks.setdefault(node.ident, []).append(children)
+            on.setdefault(node.ident, set()).add(number)
+            marks[node.ident] = (node.named, node.inside != "")
+        for block in blocks:
+            texts.setdefault((block.owner.ident, block.text), []).append(number)
+            node = block.owner
+            while node is not None:
+                below.setdefault(node.ident, set()).add((block.owner.ident, block.text))
+                node = node.above
+
+    def entropy(values, base):
+        shares = [values.count(v) / len(values) for v in set(values)]
+        return min(-sum(p * math.log(p) for p in shares) / math.log(base), 1)
+
+    worth = {t: 1 - entropy(seen, len(on[t[0]])) for t, seen in texts.items()}
+    out, content = set(), set()
+    if sum(worth.values()) / len(worth) < h.VARIED_HOST:
+        return frozenset(), frozenset()
+    for node, branch in below.items():
+        if node == h.ROOT or len(on[node]) < h.LEAST_PAGES:
+            continue
+        value = sum(worth[t] for t in branch) / len(branch)
+        named, inside = marks[node]
+        most = len(on[node]) >= h.HOST_SHARE * len(pages)
+        low = max(value, entropy(looks[node], len(on[node]))) < h.LEAST_IMPORTANCE
+        if low and (named or most or not inside):
+            out.add(node)
+        elif not low and not inside and value >= h.VARIED_NODE:
+            content.add(node)
+    for (node, text), seen in texts.items():
+        n = len(on[node])
+        if n >= max(h.LEAST_PAGES, h.HOST_SHARE * len(pages)) and len(set(seen)) >= h.TEXT_SHARE * n and worth[node, text] < h.LEAST_IMPORTANCE:
+            out.add(h._text_ident(node, text))
+    return frozenset(out), frozenset(content)

@@ -1,7 +1,10 @@
+import tracemalloc
+
 import pytest
 
+from llm_brute import page_template
 from tally.llm import texts
-from tally.llm.html_main import extract_main, host_of, main_text, parse, style_tree, template_branches
+from tally.llm.html_main import extract_main, host_of, main_text, node_of, parse, style_tree, template_branches
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
 <header><a href="/">Site</a></header><nav><ul><li><a href="/a">A</a></li></ul></nav><!-- ad --><div class="ad">Buy now</div>
@@ -52,6 +55,67 @@ def test_very_long_and_deep_pages():
     assert len(parse("<p>" * 2000)[0]) == 0
 
 
+PARAGRAPH = "A paragraph that is long enough to be the text of a page and not the teaser of another one, number %d of many."
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("<article><h2 id='search'>Search algorithms</h2><p>A</p><h2 id='related'>Related work</h2><p>B</p><section id='legal'>"
+         "<p>Legal section text</p></section><p class='notice-period'>C</p></article>",
+         "Search algorithms\nA\nRelated work\nB\nLegal section text\nC"),
+        (f"<div id='content'><p>{PARAGRAPH % 1}</p><p>{PARAGRAPH % 2}</p></div><article><p>Teaser</p></article>",
+         f"{PARAGRAPH % 1}\n{PARAGRAPH % 2}\nTeaser"),
+        ("<main><p>Lead paragraph here.</p><article><p>Body text.</p></article></main>", "Lead paragraph here.\nBody text."),
+        ("<main><article><p>Body.</p></article><ul><li><a href=1>Other page</a></li></ul></main>", "Body."),
+        ("<article class='cookie-recipe'><p class='share-price'>x</p><div class='notice'>n</div><p class='notice'>n</p>"
+         "<div id='share-buttons'>s</div><p id='comment'>c</p></article>", "x\nc"),
+    ],
+)
+def test_articles_are_whole(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("page", ["<font>" * 100_000 + "deep", "<div>" * 100_000 + "deep" + "</div>" * 100_000 + "<p>end",
+                                  "<p>" + "<b><i>" * 50_000 + "deep<div>end"])
+def test_nested_tags_take_memory_in_proportion(page):
+    tracemalloc.start()
+    blocks, nodes = parse(page, tree=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [b.text for b in blocks] == page.replace("<", " <").replace(">", "> ").split()[-1:] or blocks[0].text == "deep"
+    assert peak < 200_000_000 and len(nodes) >= 50_000 and max(n.level for n, _ in nodes) <= 101
+
+
+def test_one_host_against_plain_version(spark):
+    rows = []
+    for i in range(40):
+        beside = f"<div><p>{PARAGRAPH % i}</p></div>" if i % 2 else "<div><p>The same words beside every second article, " + "long " * 20 + "</p></div>"
+        once = "<blockquote><p>Some pages share this</p></blockquote>" if i < 9 else ""
+        rows.append(
+            (i, "http://h.example/x",
+             f"<body>{beside}<article><h1>Title {i}</h1><p>Own text {i} that goes on and on</p>{once}"
+             f"<p>Follow us for more of it</p><ul><li>Home of</li><li>Us all</li></ul></article></body>")
+        )
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    plain, varied = page_template([r[2] for r in rows])
+    found = template_branches(pages).collect()
+    assert {frozenset(r.template) for r in found} == {plain} and {frozenset(r.varied) for r in found} == {varied}
+    by_id = {r.page_id: r.text for r in extract_main(pages).collect()}
+    for i in range(40):
+        shared = "\nSome pages share this" if i < 9 else ""
+        assert by_id[i].endswith(f"Title {i}\nOwn text {i} that goes on and on{shared}")
+        assert by_id[i] == main_text(rows[i][2], plain, varied)
+
+
+def test_copies_on_a_varied_host_stay_whole(spark):
+    copy = "<article><p>Copied line one</p><p>Copied line two, longer than what is its own</p><p>own %d</p></article>"
+    rows = [(i, "http://c.example/", copy % i) for i in range(95)]
+    rows += [(i, "http://c.example/", "<article>" + "".join(f"<p>Text {i} {j}</p>" for j in range(60)) + "</article>") for i in range(95, 100)]
+    found = extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in found if r.page_id == 3} == {"Copied line one\nCopied line two, longer than what is its own\nown 3"}
+
+
 def site(spark):
     rows = []
     for i in range(24):
@@ -81,12 +145,12 @@ def test_template_of_a_site_goes(spark, limit):
 
 
 def test_importance(spark):
-    tree = {(r.host, r.path): r for r in style_tree(site(spark)).collect()}
-    body, top = tree["shop.example", "/body/div.body/p"], tree["shop.example", "/body/div.top/p"]
+    tree = {(r.host, r.node): r for r in style_tree(site(spark)).collect()}
+    body, top = (tree["shop.example", node_of(path)] for path in ("/body/div.body/p", "/body/div.top/p"))
     assert body.content == pytest.approx(1) and top.content == pytest.approx(0)
-    assert tree["copies.example", "/article/p.lead"].content == pytest.approx(0)
+    assert tree["copies.example", node_of("/article/p.lead")].content == pytest.approx(0)
     low = {r.host: set(r.template) for r in template_branches(site(spark)).collect()}
-    assert "/body/div.top" in low["shop.example"] and "copies.example" not in low
+    assert node_of("/body/div.top") in low["shop.example"] and "copies.example" not in low
 
 
 def test_hosts(spark):
