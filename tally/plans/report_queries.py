@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from tally.plans.bindings import AS_OF, DESTINATION, ORIGIN, EventTickets, OrderTables
 from tally.plans.registry import query
-from tally.plans.reports import REPORTS, busiest_routes, registered_ratio
+from tally.plans.reports import REPORTS, busiest_routes, registered_ratio, report_suite
 
 Y1, Y2 = 1996, 1997
 
@@ -317,3 +322,77 @@ _report(
     as_of=AS_OF,
     years=(Y1, Y2),
 )
+
+
+# --- the ticket rankings of a year from one scan ------------------------------------------------
+
+
+class _TimedTickets(OrderTables):
+    """The order tables, whose tickets also have a time of sale."""
+
+    def _tickets(self, columns: tuple[str, ...]) -> DataFrame:
+        kept = [c for c in columns if c not in ("purchase_time", "ticket_id")]
+        hour = F.lpad((F.col("ticket_id") % 24).cast("string"), 2, "0")
+        timed = F.when(F.col("ticket_id") % 40 != 0, F.concat(hour, F.lit(":30:00")))
+        return super()._tickets((*kept, "ticket_id")).withColumn("purchase_time", timed)
+
+
+def _suite_sql(key: str, ticket_key: str, table: str, name: str, top: int) -> str:
+    label = f"CASE WHEN orden <= {top} THEN 'TOP {top}' END" if top else "CAST(NULL AS VARCHAR)"
+    return f"""
+    SELECT '{key}' AS report, orden, CAST(k AS VARCHAR) AS key, name, total,
+           CAST(NULL AS DECIMAL(20,2)) AS revenue, {label} AS position
+    FROM (SELECT row_number() OVER (ORDER BY total DESC, k) AS orden, k, {name} AS name, total
+          FROM (SELECT {ticket_key} AS k, count(*) AS total FROM sold GROUP BY 1)
+          JOIN {table} d ON k = d.{ticket_key.removeprefix("purchase_")})"""
+
+
+@query(
+    "r10_r16_suite",
+    f"""
+    , sold AS (
+        SELECT *, CASE WHEN ticket_id % 40 <> 0 THEN CAST(ticket_id % 24 AS INTEGER) END AS hour
+        FROM tickets WHERE {_year("purchase_date", Y2)})"""
+    + _suite_sql("r10", "employee_id", "employees", "first_name || ' ' || last_name", 3)
+    + " UNION ALL "
+    + _suite_sql("r11", "cabin_type_id", "cabin_types", "d.name", 0)
+    + " UNION ALL "
+    + _suite_sql("r12", "purchase_location_id", "locations", "d.name", 1)
+    + " UNION ALL "
+    + _suite_sql("r14", "payment_type_id", "payment_types", "d.name", 1)
+    + """
+    UNION ALL
+    SELECT 'r15', orden, CAST(purchase_date AS VARCHAR), NULL, total, revenue, CASE WHEN orden = 1 THEN 'TOP 1' END
+    FROM (SELECT row_number() OVER (ORDER BY revenue DESC, purchase_date) AS orden, *
+          FROM (SELECT purchase_date, CAST(sum(final_price) AS DECIMAL(20,2)) AS revenue, count(*) AS total
+                FROM sold GROUP BY 1))
+    UNION ALL
+    SELECT 'r16', orden, CAST(hour AS VARCHAR), NULL, total, NULL, CASE WHEN orden = 1 THEN 'TOP 1' END
+    FROM (SELECT row_number() OVER (ORDER BY total DESC, hour NULLS FIRST) AS orden, *
+          FROM (SELECT hour, count(*) AS total FROM sold GROUP BY 1))""",
+    "tickets employees cabin_types locations payment_types",
+)
+def r10_r16_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six rankings of a year, one below the other."""
+    found = report_suite(_TimedTickets(spark, sf_dir), Y2)
+    shown = {
+        "r10": ("employee_id", "name"),
+        "r11": ("cabin_type_id", "cabin_type_name"),
+        "r12": ("location_id", "location_name"),
+        "r14": ("payment_type_id", "payment_type_name"),
+        "r15": ("purchase_date", None),
+        "r16": ("purchase_time", None),
+    }
+    parts = [
+        found[report].select(
+            F.lit(report).alias("report"),
+            "orden",
+            F.col(key).cast("string").alias("key"),
+            (F.col(name) if name else F.lit(None).cast("string")).alias("name"),
+            "total",
+            (F.col("revenue") if report == "r15" else F.lit(None).cast("decimal(20,2)")).alias("revenue"),
+            (F.col("position") if report != "r11" else F.lit(None).cast("string")).alias("position"),
+        )
+        for report, (key, name) in shown.items()
+    ]
+    return functools.reduce(DataFrame.unionAll, parts)

@@ -33,6 +33,7 @@ from tally.operators.aggregates import (
 )
 from tally.operators.joins import BROADCAST_BYTES, fits_broadcast, join_dim, spread_join
 from tally.operators.ranking import extremes, first_n, ranked, top_n_per_group
+from tally.workspace import store
 
 Tables = Callable[..., DataFrame]
 
@@ -219,13 +220,16 @@ def registered_ratio(tables: Tables, years: Sequence[int], monthly: bool = False
     return find(tickets, "customer_id", years, "boarding_date")
 
 
-def revenue_by_date(tables: Tables, year: int) -> DataFrame:
-    days = (
-        tables("tickets", "purchase_date", "final_price")
-        .filter(in_year("purchase_date", year))
-        .groupBy("purchase_date")
-        .agg(F.sum("final_price").cast(MONEY).alias("revenue"), _count().alias("total"))
-    )
+def revenue_by_date(tables: Tables, year: int, counts: DataFrame | None = None) -> DataFrame:
+    if counts is None:
+        days = (
+            tables("tickets", "purchase_date", "final_price")
+            .filter(in_year("purchase_date", year))
+            .groupBy("purchase_date")
+            .agg(F.sum("final_price").cast(MONEY).alias("revenue"), _count().alias("total"))
+        )
+    else:
+        days = _of_counts(counts, "purchase_date", "revenue", "total")
     placed = ranked(days, [F.desc("revenue"), F.asc("purchase_date")], top=1, bound=DAYS_IN_YEAR)
     return placed.select("orden", "purchase_date", "revenue", "total", "position")
 
@@ -339,7 +343,55 @@ def months_by_tickets(tables: Tables, year: int, mark_last: bool = False) -> Dat
     return placed.select("orden", "year", "month", "tickets", "position")
 
 
-def _tickets_by(tables: Tables, key: str, date: str, year: int) -> DataFrame:
+#: What the suite groups the tickets by, besides the hour.
+SUITE_KEYS = ("employee_id", "cabin_type_id", "purchase_location_id", "payment_type_id", "purchase_date")
+
+
+def ticket_counts(tables: Tables, year: int) -> DataFrame:
+    """Tickets and revenue of a year by each of ``SUITE_KEYS`` and by hour: one pass over the tickets.
+
+    The columns are ``by`` (the name of the key a row is for), the keys (null but for that one), ``total``
+    and ``revenue``.  Grouping sets give each ticket to six groups before anything moves, and what moves is
+    one row for each key and task, so that a hot key costs no more than others.
+    """
+    keys = [*SUITE_KEYS, "hour"]
+    sold = tables("tickets", *SUITE_KEYS, "purchase_time", "final_price").filter(in_year("purchase_date", year))
+    sold = sold.withColumn("hour", hour_of("purchase_time")).drop("purchase_time")
+    counted = sold.groupingSets([[key] for key in keys], *keys).agg(
+        F.grouping_id().alias("_set"), _count().alias("total"), F.sum("final_price").cast(MONEY).alias("revenue")
+    )
+    # a key's bit of the grouping id is 0 in its own set
+    everything = 2 ** len(keys) - 1
+    own = F.coalesce(
+        *[F.when(F.col("_set") == everything - 2 ** (len(keys) - 1 - i), key) for i, key in enumerate(keys)]
+    )
+    return counted.select(own.alias("by"), *keys, "total", "revenue")
+
+
+def _of_counts(counts: DataFrame, key: str, *columns: str) -> DataFrame:
+    return counts.filter(F.col("by") == key).select(key, *columns)
+
+
+def report_suite(tables: Tables, year: int, only_top: int | None = None) -> dict[str, DataFrame]:
+    """r10, r11, r12, r14, r15 and r16 of a year, with the rows that each gives alone, from one scan of the tickets.
+
+    The counts are kept in the shared folder, so a report that is run again reads those.
+    """
+    counts = store(ticket_counts(tables, year))
+    return {
+        "r10": employees_by_tickets(tables, year, only_top=only_top, counts=counts),
+        "r11": cabin_types_by_tickets(tables, year, counts),
+        "r12": locations_by_tickets(tables, year, counts=counts),
+        "r14": payment_types_by_tickets(tables, year, counts=counts),
+        "r15": revenue_by_date(tables, year, counts),
+        "r16": hours_by_tickets(tables, year, counts),
+    }
+
+
+def _tickets_by(tables: Tables, key: str, date: str, year: int, counts: DataFrame | None = None) -> DataFrame:
+    if counts is not None:
+        found = _of_counts(counts, key, "total")
+        return found.filter(F.col(key).isNotNull()).withColumn("year", F.lit(year))
     return (
         tables("tickets", key, date)
         .filter(in_year(date, year) & F.col(key).isNotNull())
@@ -359,10 +411,11 @@ def _lookup_ranking(
     top: int | None,
     ascending: bool = False,
     only_top: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a keyed table ranked by the tickets that point at them."""
     dim = tables(table, key, "name")
-    counted = _tickets_by(tables, ticket_key, "purchase_date", year).withColumnRenamed(ticket_key, key)
+    counted = _tickets_by(tables, ticket_key, "purchase_date", year, counts).withColumnRenamed(ticket_key, key)
     named = counted.join(dim.withColumnRenamed("name", name), key)
     placed = ranked(named, [F.desc("total"), F.asc(key)], top=top, bound=dim, only_top=only_top)
     shown = ["orden", "year", key, name, "total"] + (["position"] if top is not None else [])
@@ -370,37 +423,49 @@ def _lookup_ranking(
     return shown_rows.orderBy(F.asc("total"), F.desc("orden")) if ascending else shown_rows
 
 
-def employees_by_tickets(tables: Tables, year: int, top: int = 3, only_top: int | None = None) -> DataFrame:
+def employees_by_tickets(
+    tables: Tables, year: int, top: int = 3, only_top: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     staff = tables("employees", "employee_id", "first_name", "last_name")
-    counted = _tickets_by(tables, "employee_id", "purchase_date", year)
+    counted = _tickets_by(tables, "employee_id", "purchase_date", year, counts)
     named = counted.join(staff, "employee_id").withColumn("name", full_name("first_name", "last_name"))
     placed = ranked(named, [F.desc("total"), F.asc("employee_id")], top=top, bound=staff, only_top=only_top)
     return placed.select("orden", "year", "employee_id", "name", "total", "position")
 
 
-def cabin_types_by_tickets(tables: Tables, year: int) -> DataFrame:
-    return _lookup_ranking(tables, year, "cabin_types", "cabin_type_id", "cabin_type_id", "cabin_type_name", None)
+def cabin_types_by_tickets(tables: Tables, year: int, counts: DataFrame | None = None) -> DataFrame:
+    return _lookup_ranking(
+        tables, year, "cabin_types", "cabin_type_id", "cabin_type_id", "cabin_type_name", None, counts=counts
+    )
 
 
-def locations_by_tickets(tables: Tables, year: int, top: int = 1, output_order: str = "asc") -> DataFrame:
+def locations_by_tickets(
+    tables: Tables, year: int, top: int = 1, output_order: str = "asc", counts: DataFrame | None = None
+) -> DataFrame:
+    ascending = output_order == "asc"
     return _lookup_ranking(
-        tables, year, "locations", "location_id", "purchase_location_id", "location_name", top, output_order == "asc"
+        tables, year, "locations", "location_id", "purchase_location_id", "location_name", top, ascending, counts=counts
     )
 
 
-def payment_types_by_tickets(tables: Tables, year: int, top: int = 1) -> DataFrame:
+def payment_types_by_tickets(
+    tables: Tables, year: int, top: int = 1, counts: DataFrame | None = None
+) -> DataFrame:
     return _lookup_ranking(
-        tables, year, "payment_types", "payment_type_id", "payment_type_id", "payment_type_name", top
+        tables, year, "payment_types", "payment_type_id", "payment_type_id", "payment_type_name", top, counts=counts
     )
 
 
-def hours_by_tickets(tables: Tables, year: int) -> DataFrame:
-    hours = (
-        tables("tickets", "purchase_date", "purchase_time")
-        .filter(in_year("purchase_date", year))
-        .groupBy(hour_of("purchase_time").alias("purchase_time"))
-        .agg(_count().alias("total"))
-    )
+def hours_by_tickets(tables: Tables, year: int, counts: DataFrame | None = None) -> DataFrame:
+    if counts is None:
+        hours = (
+            tables("tickets", "purchase_date", "purchase_time")
+            .filter(in_year("purchase_date", year))
+            .groupBy(hour_of("purchase_time").alias("purchase_time"))
+            .agg(_count().alias("total"))
+        )
+    else:
+        hours = _of_counts(counts, "hour", "total").withColumnRenamed("hour", "purchase_time")
     # 24 hours and the missing one
     placed = ranked(hours, [F.desc("total"), F.asc("purchase_time")], top=1, bound=25)
     return placed.select("orden", "purchase_time", "total", "position")
