@@ -4,7 +4,10 @@ Two histograms describe a text: its characters by class, and its words by common
 language (one bin for all others).  Both are compared with the language's reference, the same
 histogram over the documents of that language, by Jensen-Shannon distance (base 2, so 0 to 1).
 A histogram is judged only if the text is long enough to fill it and the reference rests on
-enough text; a document is rejected if a judged distance exceeds its limit.
+enough text; a document is rejected if a judged distance exceeds its limit.  A short text is far from
+its language by chance alone: n words that are drawn from the reference itself have an expected
+squared distance of about (bins - 1) / (8 n ln 2).  The limit for words allows for that; for the few
+character classes it is small where judging starts, and the limit is the same for every length.
 
 The reference is made twice: over all documents, and again over those that the base rules and
 wide limits against the first one leave, so that the junk of a language does not move its own
@@ -13,6 +16,7 @@ yardstick.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -30,8 +34,9 @@ MOST_REPEATED = 50  # per cent of the words
 CHARS_JUDGED = 200  # characters a text needs for the comparison of character classes
 WORDS_JUDGED = 100  # words it needs for the comparison of common words
 REFERENCE_WORDS = 1000  # words a language needs for a reference
-WIDE_CHAR_LIMIT, WIDE_WORD_LIMIT = 0.25, 0.30  # against the first reference
-CHAR_LIMIT, WORD_LIMIT = 0.20, 0.27  # against the second
+# The limits of words are for long texts; see word_limit_at.
+WIDE_CHAR_LIMIT, WIDE_WORD_LIMIT = 0.25, 0.25  # against the first reference
+CHAR_LIMIT, WORD_LIMIT = 0.20, 0.20  # against the second
 
 # Common words by language.
 COMMON: dict[str, str] = {
@@ -168,6 +173,11 @@ def js_distance(own: Column, reference: Column) -> Column:
     return F.when(total.isNotNull() & other.isNotNull(), F.sqrt(F.greatest(summed / 2, F.lit(0.0))))
 
 
+def word_limit_at(limit: float, n_words: Column) -> Column:
+    """The limit for a text of ``n_words``: ``limit`` and the distance to expect by chance, as squares added up."""
+    return F.sqrt(F.lit(limit * limit) + F.lit((WORD_BINS - 1) / (8 * math.log(2))) / n_words)
+
+
 def lang_key(lang: Column) -> Column:
     return F.when(lang.isNull(), F.lit("none")).otherwise(F.concat(F.lit("l:"), lang))
 
@@ -185,7 +195,9 @@ def verdicts(
     chars = F.when(enough & (_total(F.col("f.char_counts")) >= CHARS_JUDGED), js_distance(F.col("f.char_counts"), F.col("ref_chars")))
     said = F.when(enough & (F.col("f.n_words") >= WORDS_JUDGED), js_distance(F.col("f.word_counts"), F.col("ref_words")))
     failed = (F.col("f.n_words") < LEAST_WORDS) | (100 * F.col("f.n_repeat_words") > MOST_REPEATED * F.col("f.n_words"))
-    far = F.coalesce(F.col("char_distance") > char_limit, F.lit(False)) | F.coalesce(F.col("word_distance") > word_limit, F.lit(False))
+    far = F.coalesce(F.col("char_distance") > char_limit, F.lit(False)) | F.coalesce(
+        F.col("word_distance") > word_limit_at(word_limit, F.nullif("f.n_words", F.lit(0))), F.lit(False)
+    )
     return (
         joined.withColumn("char_distance", chars)
         .withColumn("word_distance", said)

@@ -103,7 +103,7 @@ def quality(docs, common, wide, limits):
                     far |= js(own, chars[lang]) > char_limit
                 if n >= 100:
                     d = js(word_histogram(text, common.get(lang)), said[lang])
-                    far |= d is not None and d > word_limit
+                    far |= d is not None and d > (word_limit**2 + 30 / (8 * n * math.log(2))) ** 0.5
             chosen.append(not failed and not far)
     return chosen
 
@@ -272,8 +272,6 @@ def mixture(rows, weights=(3, 1, 2), share=1.5, most=2.0, seed="mixture-1"):
 
 def page_template(pages):
     """(nodes and texts to leave out, content beside articles) of one host's pages, straight from the definitions."""
-    import math
-
     from tally.llm import html_main as h
 
     looks, texts, on, marks, below = {}, {}, {}, {}, {}

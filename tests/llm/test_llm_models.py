@@ -53,6 +53,24 @@ def test_quality_keeps_good_and_rejects_bad(spark, small_dir):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_texts_like_their_language_stay_at_every_length(documents):
+    """Texts drawn word by word from one distribution, with the common words of natural English."""
+    rng = np.random.default_rng(5)
+    listed = quality.COMMON["en"].split()
+    shares = np.array([*(0.06 / (1 + i) ** 0.8 for i in range(30)), 0.0])
+    shares[-1] = 1 - shares.sum()
+    drawn = [
+        " ".join(listed[k] if k < 30 else f"w{rng.integers(9999)}" for k in rng.choice(31, size=n, p=shares))
+        for n in (100, 120, 200, 1000)
+        for _ in range(150)
+    ]
+    odd = [" ".join(f"x{rng.integers(9999)}" for _ in range(400)) for _ in range(20)]
+    rows = [(i, text, "en", "s") for i, text in enumerate([*drawn, *odd])]
+    found = {r.doc_id: r for r in quality.quality_report(documents(rows)).collect()}
+    far = [found[i].word_distance > (quality.WORD_LIMIT**2 + 30 / (8 * found[i].n_words * np.log(2))) ** 0.5 for i in range(len(rows))]
+    assert sum(far[: len(drawn)]) <= 0.005 * len(drawn) and all(far[len(drawn) :])
+
+
 def made_rows(n, seed):
     rng = np.random.default_rng(seed)
     places, labels = [], []
