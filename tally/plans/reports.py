@@ -33,6 +33,7 @@ from tally.operators.aggregates import (
 )
 from tally.operators.joins import BROADCAST_BYTES, fits_broadcast, join_dim, spread_join
 from tally.operators.ranking import extremes, first_n, ranked, top_n_per_group
+from tally.plans.counted import CountedTables
 from tally.workspace import store
 
 Tables = Callable[..., DataFrame]
@@ -63,6 +64,8 @@ def _count() -> Column:
 
 
 def _tickets_per_flight(tables: Tables, boarding_years: Sequence[int] = ()) -> DataFrame:
+    if isinstance(tables, CountedTables):
+        return tables.counts.per_flight(boarding_years)
     if boarding_years:
         tickets = tables("tickets", "flight_id", "boarding_date").filter(in_year("boarding_date", *boarding_years))
     else:
@@ -542,12 +545,13 @@ def top_routes_by_weekday(tables: Tables, years: Sequence[int], n: int = 3) -> D
     ):
         routes = routes.join(_city(tables, key, name), key)
     routes = routes.join(_weekdays(tables), "weekday_id")
-    flown = counts_per_outer(
-        tables("flights", "flight_id", "route_id"),
-        tables("tickets", "flight_id", "boarding_date").filter(in_year("boarding_date", *years)),
-        "flight_id",
-        "tickets",
-    )
+    flights = tables("flights", "flight_id", "route_id")
+    if isinstance(tables, CountedTables):
+        counted = tables.counts.per_flight(years)
+        flown = flights.join(counted, "flight_id", "left").fillna(0, ["tickets"])
+    else:
+        sold = tables("tickets", "flight_id", "boarding_date").filter(in_year("boarding_date", *years))
+        flown = counts_per_outer(flights, sold, "flight_id", "tickets")
     group = ["route_id", "city_name_origin", "city_name_destination", "weekday_id", "weekday_name"]
     # to route grain before meeting the route table
     demand = (
@@ -561,6 +565,8 @@ def top_routes_by_weekday(tables: Tables, years: Sequence[int], n: int = 3) -> D
 
 def _flown_per_customer(tables: Tables, years: Sequence[int]) -> DataFrame:
     """Tickets on known flights per registered customer, by boarding year."""
+    if isinstance(tables, CountedTables):
+        return tables.counts.per_customer(years)
     tickets = (
         tables("tickets", "ticket_id", "flight_id", "customer_id", "boarding_date")
         .filter(in_year("boarding_date", *years))

@@ -1,4 +1,5 @@
 from tally.sources.commits import CommitLog, Conflict
+from tally.sources.counts import KeptCounts
 from tally.sources.insert_text import import_dump, read_insert_dump, write_insert_dump
 from tally.sources.stored import StoredTable
 from tally.sources.tables import ParquetTables, append, load, save
@@ -6,6 +7,7 @@ from tally.sources.tables import ParquetTables, append, load, save
 __all__ = [
     "CommitLog",
     "Conflict",
+    "KeptCounts",
     "ParquetTables",
     "StoredTable",
     "append",
