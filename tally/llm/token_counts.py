@@ -12,11 +12,13 @@ of a text is the sum along its path.
   on; it is bounded by the longest token.
 * No vocabulary token has a word mark after another character, and none has an unknown character.
   The path is back in a known state at each such place, so what lies between two of them is
-  counted once and remembered.
+  counted once and remembered.  It is also known behind a character that is a token but no part of a
+  longer one, as are most of a script without spaces.
 
 A text is cut in chunks.  The state map of a chunk is (head, body, exit): the characters before
 its first known state, the tokens after it, and the state at its end.  Maps compose
-associatively; the maps of a text are combined in chunk order and applied to the start state.
+associatively; those of neighbours are combined in rounds, each half as many as the one before, and the
+last one of a text is applied to the start state.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.texts import record_batch, rows
+from tally.llm.texts import record_batch, rows, written
 
 MARK = "▁"
 CHUNK_CHARS = 32_768
@@ -69,6 +71,7 @@ class Transducer:
         self.scores = vocabulary
         self.letters = {piece for piece in vocabulary if len(piece) == 1}
         self.open = {piece[:i] for piece in vocabulary for i in range(1, len(piece))}
+        self.alone = self.letters - {char for piece in vocabulary if len(piece) > 1 for char in piece}
         self.pairs: dict[tuple[str, str], bool] = {}
         self._forget()
         self.words = _Remembered(self)
@@ -144,17 +147,32 @@ class Transducer:
             parts = [run[1:] for run in _RUN.findall(marked)]
         return sum(map(self.words.__getitem__, parts))
 
+    def settled(self, text: str) -> tuple[int, State] | None:
+        """The first place of a text without word marks where the state is known, whatever it was before, and the state."""
+        for at, char in enumerate(text, 1):
+            if char in self.alone:
+                return at, (("", char, 0),)
+            if char not in self.letters and char != " ":
+                return at, START
+        return None
+
     def chunk_map(self, chunk: str) -> tuple[str, int, State | None]:
         """(head, body, exit) of a chunk; exit is None if no known state was met."""
-        first = _EDGE.search(chunk)
-        if first is None:
-            return chunk, 0, None
-        last = max(chunk.rfind(" ", 0, len(chunk)), first.start())
-        while last > first.start() and chunk[last - 1] == " ":
+        edge = _EDGE.search(chunk)
+        first = len(chunk) if edge is None else edge.start()
+        known = self.settled(chunk[:first])
+        head, state, body = chunk[:first], None, 0
+        if known is not None:
+            head = chunk[: known[0]]
+            state, body = self.run(known[1], chunk[known[0] : first])
+        if edge is None:
+            return head, body, state
+        last = max(chunk.rfind(" ", 0, len(chunk)), first)
+        while last > first and chunk[last - 1] == " ":
             last -= 1
-        body = self.count(chunk[first.start() : last]) if last > first.start() else 0
+        body += self.count(chunk[first:last]) if last > first else 0
         state, rest = self.run(START, chunk[last:])
-        return chunk[: first.start()], body + rest, state
+        return head, body + rest, state
 
     def compose(self, a: tuple[str, int, State | None], b: tuple[str, int, State | None]):
         """The map of two neighbouring chunks."""
@@ -222,30 +240,46 @@ def _mapped(path: str):
     return mapped
 
 
-def _combined(path: str):
-    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_MAP_DDL = "doc_id long, n_bytes long, text_hash long, chunk int, copies long, head string, body long, exit string"
+_JOINED = pa.schema([*list(_MAPS)[:4], ("copies", pa.int64()), *list(_MAPS)[4:]])
+
+
+def _joined(path: str):
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transducer = compiled(path)
+        for batch in batches:
+            found = []
+            for *key, maps in rows(batch, "doc_id", "n_bytes", "text_hash", "chunk", "copies", "maps"):
+                head, body, state = functools.reduce(transducer.compose, map(_read_map, maps))
+                found.append((*key, head, body, None if state is None else json.dumps(state)))
+            yield record_batch(_JOINED, found)
+
+    return joined
+
+
+def _read_map(m: dict) -> tuple[str, int, State | None]:
+    return m["head"], m["body"], None if m["exit"] is None else tuple(map(tuple, json.loads(m["exit"])))
+
+
+def _applied(path: str):
+    def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(path)
         for batch in batches:
             found = []
-            for doc, size, copies, maps in rows(batch, "doc_id", "n_bytes", "copies", "maps"):
-                chunks = [
-                    (m["head"], m["body"], None if m["exit"] is None else tuple(map(tuple, json.loads(m["exit"]))))
-                    for m in maps
-                ]
-                tokens = transducer.apply(functools.reduce(transducer.compose, chunks))
-                found += [(doc, size, tokens)] * copies
+            for doc, size, copies, head, body in rows(batch, "doc_id", "n_bytes", "copies", "head", "body"):
+                found += [(doc, size, transducer.apply((head, body, None)))] * copies
             yield record_batch(_SHORT, found)
 
-    return combined
+    return applied
 
 
 def token_counts(docs: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row; ``model`` is a sentencepiece BPE model file.
 
     Texts of up to ``chunk_chars`` characters are counted where they are read.  Longer ones are
-    cut, their chunks dealt over all tasks, and only the chunks' state maps are brought together
-    (the work of a text of any length is spread; what is combined is a few words a chunk, in one
-    task a text.  A chunk without an ASCII space is its own map and is gathered whole).
+    cut, their chunks dealt over all tasks, and only the chunks' state maps are brought together, two
+    neighbours at a time in as many rounds as the longest text needs.  A map is the characters up to the first
+    known state; of a text without any (letters without a space or a line end, as in base64) it is the text.
 
     Null and empty texts have no bytes and no tokens.  Repeated rows stay repeated, also under one
     doc_id; a null doc_id is kept.  An empty table gives no rows.  Other columns are ignored.
@@ -253,7 +287,8 @@ def token_counts(docs: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS) ->
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     long = F.length("text") > chunk_chars
-    short = base.filter(~long).mapInArrow(_whole(model), "doc_id long, n_bytes long, n_tokens long")
+    counted = "doc_id long, n_bytes long, n_tokens long"
+    short = base.filter(~long).mapInArrow(_whole(model), counted)
 
     last = F.floor((F.length("text") - 1) / chunk_chars).cast("int")
     chunks = (
@@ -264,10 +299,17 @@ def token_counts(docs: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS) ->
     )
     schema = "doc_id long, n_bytes long, text_hash long, chunk int, head string, body long, exit string"
     maps = chunks.mapInArrow(_mapped(model), schema)
-    gathered = (
-        maps.groupBy("doc_id", "n_bytes", "text_hash", "chunk")  # identical rows: one map a chunk and a count
-        .agg(F.first("head").alias("head"), F.first("body").alias("body"), F.first("exit").alias("exit"), F.count("*").alias("copies"))
-        .groupBy("doc_id", "n_bytes", "text_hash")
-        .agg(F.max("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("chunk", "head", "body", "exit"))).alias("maps"))
+    # identical rows: one map a chunk and a count
+    once = maps.groupBy("doc_id", "n_bytes", "text_hash", "chunk").agg(
+        F.count("*").alias("copies"), *[F.first(name).alias(name) for name in ("head", "body", "exit")]
     )
-    return short.unionByName(gathered.mapInArrow(_combined(model), "doc_id long, n_bytes long, n_tokens long"))
+    once = written(once, "token-maps")
+    most = once.agg(F.max("chunk").alias("chunk")).first().chunk or 0
+    for _ in range(most.bit_length()):
+        half = F.floor(F.col("chunk") / 2).cast("int").alias("chunk")
+        pairs = once.groupBy("doc_id", "n_bytes", "text_hash", half).agg(
+            F.max("copies").alias("copies"),
+            F.sort_array(F.collect_list(F.struct("chunk", "head", "body", "exit"))).alias("maps"),
+        )
+        once = pairs.mapInArrow(_joined(model), _MAP_DDL)
+    return short.unionByName(once.mapInArrow(_applied(model), counted))

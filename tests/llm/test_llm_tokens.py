@@ -1,3 +1,4 @@
+import functools
 import random
 
 import public_tokenizers
@@ -37,6 +38,29 @@ def test_random_texts_in_any_cut(library):
         assert transducer.count(plain) == transducer.apply(maps[0]) == len(library.encode(text))
 
 
+def test_texts_without_spaces_have_small_maps(library):
+    transducer = compiled(MODEL)
+    rng = random.Random(11)
+    several = sorted(transducer.alone)[:400]
+    assert len(several) > 100
+    for letters in (several, ["中", "文", "\U00020000", "語"], ["a", "b", "\n", "th"], ["é", "x", several[0]]):
+        for _ in range(50):
+            text = "".join(rng.choices(letters, k=200))
+            plain = " " + text
+            maps = [transducer.chunk_map(plain[i : i + 40]) for i in range(0, len(plain), 40)]
+            assert sum(len(head) for head, _, _ in maps[1:]) < 160
+            while len(maps) > 1:
+                maps = [functools.reduce(transducer.compose, maps[i : i + 2]) for i in range(0, len(maps), 2)]
+            assert transducer.apply(maps[0]) == len(library.encode(text))
+
+
+def test_rounds_of_composition(spark, documents, library):
+    base64 = "".join(random.Random(4).choices("ABCDEFGHabcdefgh0123456789+/", k=3000))
+    rows = [(1, "word " * 700), (2, base64), (3, "中文語" * 500), (4, base64[:33]), (4, base64[:64]), (5, "a\n" * 999), (5, "a\n" * 999)]
+    found = sorted((r.doc_id, r.n_tokens) for r in token_counts(documents(rows), MODEL, 32).collect())
+    assert found == sorted((d, len(library.encode(t))) for d, t in rows)
+
+
 def test_odd_rows(spark, documents, library):
     long = "".join(random.Random(3).choices(PARTS, k=4000))
     rows = [(1, None), (2, ""), (3, " "), (4, "same text"), (4, "same text"), (4, "other"), (None, "x" * 500), (5, long), (5, long)]
